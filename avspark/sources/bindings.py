@@ -224,3 +224,101 @@ def aircraft_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     return positions_from_events(table(spark, sf_dir, "events")).drop(
         "baro_altitude", "geo_altitude"
     )
+
+
+def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prediction requests as users send them: one per flight, many of them malformed."""
+    df = _flight_base(spark, sf_dir, {"origin", "destination", "distance_mi"})
+    exprs = _shared_columns()
+    p = F.col("l_partkey")
+
+    def variants(modulus: int, default, *cases) -> Column:
+        out = F.when(p % modulus == 0, cases[0])
+        for i, case in enumerate(cases[1:], 1):
+            out = out.when(p % modulus == i, case)
+        return out.otherwise(default)
+
+    origin, dest = F.col("origin"), F.col("destination")
+    iso = F.concat(
+        F.lit("2024-01-"), F.lpad((p % 28 + 1).cast("string"), 2, "0"), F.lit("T"),
+        F.lpad((p % 24).cast("string"), 2, "0"), F.lit(":30:00"),
+    )
+    airline = dims.pick(dims.AIRLINES, F.col("l_suppkey") % 8)
+    aircraft = dims.pick(dims.AIRCRAFT_TYPES, p % 4)
+    return df.select(
+        exprs["flight_id"].alias("request_id"),
+        variants(11, origin, F.lower(origin), F.concat(F.lit(" "), origin, F.lit(" ")),
+                 F.substring(origin, 1, 2), F.lit("ZZZ")).alias("origin"),
+        variants(13, dest, F.lower(dest), F.lit("ZZZ"),
+                 F.concat(F.lit("4"), F.substring(dest, 2, 2))).alias("destination"),
+        variants(17, iso, F.replace(iso, F.lit("T"), F.lit(" ")), F.lit("2024-02-30T08:00:00"),
+                 F.concat(F.lit(" "), iso, F.lit(" "))).alias("scheduled_departure"),
+        variants(7, airline, F.lower(airline), F.lit("XX")).alias("airline"),
+        variants(19, aircraft, F.lit("Concorde"), F.lower(aircraft)).alias("aircraft_type"),
+        F.when(p % 23 == 0, 24).otherwise(p % 24).cast("int").alias("dep_hour"),
+        F.when(p % 29 == 0, 7).otherwise(p % 7).cast("int").alias("day_of_week"),
+        variants(31, F.col("distance_mi"), F.lit(0.5), F.lit(None).cast("double"), F.lit(20000.0))
+        .alias("distance_mi"),
+        (p % 260).cast("int").alias("row_limit"),
+    )
+
+
+def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored predictions, one to three per flight, some for flights that are gone."""
+    df = table(spark, sf_dir, "lineitem")
+    flight_id = _shared_columns()["flight_id"]
+    return df.select(
+        F.when(F.col("l_partkey") % 37 == 0, F.concat(F.lit("X-"), flight_id)).otherwise(flight_id)
+        .alias("flight_id"),
+        (F.col("l_partkey") % 100 / 100).alias("delay_probability"),
+        F.explode(F.sequence(F.lit(0), (F.col("l_linenumber") % 3).cast("int"))).alias("version"),
+    )
+
+
+def raw_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Polling responses as JSON text: 17-slot vectors, the second without coordinates."""
+    s = positions_from_events(table(spark, sf_dir, "events"))
+
+    def number(c: str) -> Column:
+        return F.coalesce(F.col(c).cast("string"), F.lit("null"))
+
+    def vector(longitude: Column) -> Column:
+        quote = F.lit('"')
+        slots = [
+            F.concat(quote, F.col("icao24"), quote),
+            F.concat(quote, F.col("callsign"), F.lit('  "')),
+            F.concat(quote, F.col("origin_country"), quote),
+            F.lit("1"), F.lit("2"), longitude, number("latitude"), number("baro_altitude"),
+            number("on_ground"), number("velocity_mps"), number("heading_deg"),
+            F.lit("null"), F.lit("null"), number("geo_altitude"),
+            F.lit("null"), F.lit("false"), F.lit("0"),
+        ]
+        return F.concat(F.lit("["), F.concat_ws(",", *slots), F.lit("]"))
+
+    response = F.concat(
+        F.lit('{"time":'), F.unix_seconds("ts").cast("string"), F.lit(',"states":['),
+        vector(number("longitude")), F.lit(","), vector(F.lit("null")), F.lit("]}"),
+    )
+    return s.select("event_id", response.alias("response"))
+
+
+def forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly forecast payloads as JSON text: 1 to 3 hours, parts missing or empty."""
+    e = F.col("event_id")
+
+    def series(base: Column) -> Column:
+        hours = F.sequence(F.lit(0), (e % 3).cast("int"))
+        return F.concat(F.lit("["), F.concat_ws(",", F.transform(
+            hours, lambda i: (base + i).cast("string"))), F.lit("]"))
+
+    parts = [
+        F.concat(F.lit('"temperature_2m":'), series(e % 30)),
+        F.when(e % 5 != 0, F.concat(F.lit('"wind_speed_10m":'), series(e % 50))),
+        F.when(e % 7 == 0, F.lit('"precipitation":[]')).otherwise(
+            F.concat(F.lit('"precipitation":'), series(e % 4))),
+        F.when(e % 11 != 0, F.concat(F.lit('"visibility":'), series(e * 13 % 20000))),
+        F.concat(F.lit('"cloud_cover":'), series(e % 99)),
+        F.when(e % 3 != 0, F.concat(F.lit('"weather_code":'), series(e % 97))),
+    ]
+    payload = F.concat(F.lit('{"hourly":{'), F.concat_ws(",", *parts), F.lit("}}"))
+    return table(spark, sf_dir, "events").select("event_id", payload.alias("payload"))
