@@ -99,11 +99,11 @@ def pinned_impacts(reports: DataFrame, airports: DataFrame, day: str = "2024-01-
     """(airport, hour, impact) for each hour of one reference day: 24 rows an airport."""
     keys = airports.select(
         F.col("code").alias("airport"), F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hour")
-    ).withColumn("at", F.expr(f"timestamp_ntz'{day} 00:00:00'") + F.make_dt_interval(hours=F.col("hour")))
+    ).withColumn("reference_time", F.expr(f"timestamp_ntz'{day} 00:00:00'") + F.make_dt_interval(hours=F.col("hour")))
     return as_of(
         keys, hourly_reports(reports), airports, airport="airport", ts="reference_time",
         values={"weather_impact_score": "impact"},
-    ).drop("at")
+    ).drop("reference_time")
 
 
 def hourly_impact(reports: DataFrame, airports: DataFrame) -> DataFrame:

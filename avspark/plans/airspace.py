@@ -9,7 +9,7 @@ from avspark.functions import flights as ff
 from avspark.functions.numeric import round_dp
 from avspark.operators import lookups, routes, sectors, weather
 from avspark.operators.positions import with_coordinates
-from avspark.plans.ctes import great_circle, haversine, risk, rnd, sector, with_ctes
+from avspark.plans.ctes import fixed, great_circle, haversine, risk, rnd, sector, with_ctes
 from avspark.plans.registry import query
 from avspark.sources import bindings as b
 
@@ -107,10 +107,6 @@ def j6(spark, sf_dir):
     )
 
 
-def _fixed(expr: str, places: int) -> str:
-    return f"CAST(CAST(round(CAST({expr} AS DECIMAL(18,6)),{places}) AS DECIMAL(18,{places})) AS VARCHAR)"
-
-
 _BLEND = rnd("0.7::DOUBLE*p+0.3::DOUBLE*r", 3)
 
 
@@ -119,13 +115,13 @@ _BLEND = rnd("0.7::DOUBLE*p+0.3::DOUBLE*r", 3)
       r AS weather_risk_score,
       CASE WHEN delay_probability>0.6 THEN 'HIGH' WHEN delay_probability>0.35 THEN 'MODERATE' ELSE 'LOW' END AS risk_label,
       CASE WHEN p IS NULL THEN 'low' ELSE 'high' END AS confidence,
-      'Origin: wind '||{_fixed('wind_speed_knots', 0)}||' kn, vis '||{_fixed('visibility_km', 1)}||' km, precip '
-        ||{_fixed('precipitation_mm_hr', 1)}||' mm/h. Route max risk: '||{_fixed('r', 2)}||'.' AS weather_summary,
-      CASE WHEN p IS NOT NULL THEN 'ML model probability '||{_fixed('p', 2)}
-        ||' (weight 0.70) combined with weather risk '||{_fixed('r', 2)}||' (weight 0.30) → '
-        ||{_fixed('delay_probability', 2)}||'.'
+      'Origin: wind '||{fixed('wind_speed_knots', 0)}||' kn, vis '||{fixed('visibility_km', 1)}||' km, precip '
+        ||{fixed('precipitation_mm_hr', 1)}||' mm/h. Route max risk: '||{fixed('r', 2)}||'.' AS weather_summary,
+      CASE WHEN p IS NOT NULL THEN 'ML model probability '||{fixed('p', 2)}
+        ||' (weight 0.70) combined with weather risk '||{fixed('r', 2)}||' (weight 0.30) → '
+        ||{fixed('delay_probability', 2)}||'.'
       ELSE 'ML model unavailable — delay probability driven entirely by live weather risk score '
-        ||{_fixed('r', 2)}||'.' END AS explanation
+        ||{fixed('r', 2)}||'.' END AS explanation
     FROM (SELECT *, CASE WHEN p IS NOT NULL THEN {_BLEND} ELSE {rnd('r', 3)} END AS delay_probability FROM (
       SELECT f.flight_id, CASE WHEN l_partkey%37<>0 THEN (l_partkey%100)/100.0::DOUBLE END AS p,
         greatest(o.risk_score, d.risk_score) AS r, o.wind_speed_knots, o.visibility_km, o.precipitation_mm_hr

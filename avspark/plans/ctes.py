@@ -25,6 +25,10 @@ def rnd(expr: str, places: int) -> str:
     return f"CAST(ROUND(CAST({expr} AS DECIMAL(18,6)), {places}) AS DOUBLE)"
 
 
+def fixed(expr: str, places: int) -> str:
+    return f"CAST(CAST(round(CAST({expr} AS DECIMAL(18,6)),{places}) AS DECIMAL(18,{places})) AS VARCHAR)"
+
+
 def haversine(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
     return (
         f"(2*{dims.EARTH_RADIUS_MI}*asin(sqrt(pow(sin(radians({lat2}-{lat1})/2),2)"

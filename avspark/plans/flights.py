@@ -114,7 +114,7 @@ def _variants(modulus: int, default: str, *cases: str) -> str:
 
 
 _ISO = "'2024-01-'||lpad((l_partkey%28+1)::VARCHAR,2,'0')||'T'||lpad((l_partkey%24)::VARCHAR,2,'0')||':30:00'"
-_REQUESTS = f"""
+REQUESTS = f"""
     SELECT flight_id AS request_id,
       {_variants(11, 'origin', 'lower(origin)', "' '||origin||' '", 'substr(origin,1,2)', "'ZZZ'")} AS origin,
       {_variants(13, 'destination', 'lower(destination)', "'ZZZ'", "'4'||substr(destination,2,2)")} AS destination,
@@ -137,7 +137,7 @@ def _in(values) -> str:
     return "(" + ",".join(f"'{v}'" for v in values) + ")"
 
 
-@query("p3_p7_validate_requests", with_ctes(f"""
+VALIDATED = f"""
     SELECT request_id, o AS origin, t AS destination, a AS airline, aircraft_type,
       d AS scheduled_departure, dep_hour, day_of_week, distance_mi, row_limit,
       concat_ws(',',
@@ -154,8 +154,10 @@ def _in(values) -> str:
         CASE WHEN distance_mi NOT BETWEEN 1 AND 15000 THEN 'distance_mi' END,
         CASE WHEN row_limit NOT BETWEEN 1 AND 200 THEN 'row_limit' END) AS errors
     FROM (SELECT *, upper(trim(origin)) AS o, upper(trim(destination)) AS t,
-            upper(trim(airline)) AS a, trim(scheduled_departure) AS d FROM requests)""",
-    "ops", requests=_REQUESTS))
+            upper(trim(airline)) AS a, trim(scheduled_departure) AS d FROM requests)"""
+
+
+@query("p3_p7_validate_requests", with_ctes(VALIDATED, "ops", requests=REQUESTS))
 def p3_p7(spark, sf_dir):
     checked = quality.validate_requests(b.requests(spark, sf_dir))
     return checked.withColumn("errors", F.concat_ws(",", "errors"))
@@ -179,7 +181,7 @@ def p11(spark, sf_dir):
 @query("p12_known_airports", with_ctes("""
     SELECT request_id, origin, destination FROM requests
     WHERE origin IN (SELECT code FROM airports) AND destination IN (SELECT code FROM airports)""",
-    "ops", "airports", requests=_REQUESTS))
+    "ops", "airports", requests=REQUESTS))
 def p12(spark, sf_dir):
     asked = b.requests(spark, sf_dir).select("request_id", "origin", "destination")
     return op.known_airports_only(asked, dims.airports(spark))
@@ -192,7 +194,7 @@ def p12(spark, sf_dir):
             departure IS NOT NULL AND o.code IS NOT NULL AND t.code IS NOT NULL AS usable
       FROM parsed r LEFT JOIN airports o ON o.code = r.origin
       LEFT JOIN airports t ON t.code = r.destination)""",
-    "ops", "airports", requests=_REQUESTS,
+    "ops", "airports", requests=REQUESTS,
     parsed=f"SELECT *, {_TS} AS departure FROM (SELECT *, scheduled_departure AS d FROM requests)"))
 def p13(spark, sf_dir):
     good, bad = quality.split_parsable(b.requests(spark, sf_dir), dims.airports(spark))
