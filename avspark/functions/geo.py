@@ -25,38 +25,31 @@ def along_great_circle(df: DataFrame, n: int) -> DataFrame:
     Adds ``i`` (0-based), ``frac``, ``lat`` and ``lon``. The end points' unit vectors
     and the angle between them are computed once per row, before the row is expanded.
     """
-    def clip(c):
-        return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), c))
-
-    o_lat, o_lon = F.radians("o_lat"), F.radians("o_lon")
-    d_lat, d_lon = F.radians("d_lat"), F.radians("d_lon")
-    kept = [F.col(c) for c in df.columns]
-    vectors = df.select(
+    kept = df.columns
+    frac = f"CAST(i / {float(n - 1)}D AS DOUBLE)" if n > 1 else "0.0D"
+    vectors = df.selectExpr(
         *kept,
-        (F.cos(o_lat) * F.cos(o_lon)).alias("_ax"), (F.cos(o_lat) * F.sin(o_lon)).alias("_ay"),
-        F.sin(o_lat).alias("_az"),
-        (F.cos(d_lat) * F.cos(d_lon)).alias("_bx"), (F.cos(d_lat) * F.sin(d_lon)).alias("_by"),
-        F.sin(d_lat).alias("_bz"),
-    ).withColumn(
-        "_w",
-        F.acos(clip(F.expr("_ax * _bx + _ay * _by + _az * _bz"))),
+        "cos(radians(o_lat)) * cos(radians(o_lon)) AS _ax",
+        "cos(radians(o_lat)) * sin(radians(o_lon)) AS _ay", "sin(radians(o_lat)) AS _az",
+        "cos(radians(d_lat)) * cos(radians(d_lon)) AS _bx",
+        "cos(radians(d_lat)) * sin(radians(d_lon)) AS _by", "sin(radians(d_lat)) AS _bz",
+    ).selectExpr("*", "acos(greatest(-1D, least(1D, _ax * _bx + _ay * _by + _az * _bz))) AS _w")
+    weights = (
+        vectors.selectExpr("*", f"explode(sequence(0, {n - 1})) AS i")
+        .selectExpr("*", f"{frac} AS frac")
+        .selectExpr(
+            "*",
+            "CASE WHEN _w < 1e-10D THEN 1D ELSE sin((1D - frac) * _w) / sin(_w) END AS _p",
+            "CASE WHEN _w < 1e-10D THEN 0D ELSE sin(frac * _w) / sin(_w) END AS _q",
+        )
     )
-    points = vectors.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    frac = F.col("i") / F.lit(float(n - 1)) if n > 1 else F.lit(0.0)
-    points = points.withColumn("frac", frac)
-    coincident = F.col("_w") < 1e-10
-    points = points.withColumn(
-        "_p", F.when(coincident, 1.0).otherwise(F.sin((1 - F.col("frac")) * F.col("_w")) / F.sin("_w"))
-    ).withColumn(
-        "_q", F.when(coincident, 0.0).otherwise(F.sin(F.col("frac") * F.col("_w")) / F.sin("_w"))
+    points = weights.selectExpr("*", *[f"_p * _a{c} + _q * _b{c} AS _{c}" for c in "xyz"]).selectExpr(
+        "*", "sqrt(_x * _x + _y * _y + _z * _z) AS _norm"
     )
-    for axis in "xyz":
-        points = points.withColumn(f"_{axis}", F.expr(f"_p * _a{axis} + _q * _b{axis}"))
-    norm = F.sqrt(F.expr("_x * _x + _y * _y + _z * _z"))
-    return points.select(
+    return points.selectExpr(
         *kept, "i", "frac",
-        F.degrees(F.asin(clip(F.col("_z") / norm))).alias("lat"),
-        F.degrees(F.atan2(F.col("_y") / norm, F.col("_x") / norm)).alias("lon"),
+        "degrees(asin(greatest(-1D, least(1D, _z / _norm)))) AS lat",
+        "degrees(atan2(_y / _norm, _x / _norm)) AS lon",
     )
 
 

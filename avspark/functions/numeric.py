@@ -13,7 +13,7 @@ def round_dp(value: Column, places: int) -> Column:
 
 def tenths(minutes: Column) -> Column:
     """One-decimal minutes as a whole number of tenths; integer sums are order-free."""
-    return F.round(minutes * 10).cast("bigint")
+    return F.rint(minutes * 10).cast("bigint")
 
 
 def mean_of_tenths(total: Column, count: Column, places: int) -> Column:

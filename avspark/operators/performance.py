@@ -113,31 +113,45 @@ def hourly_delay_pattern(flights: DataFrame) -> DataFrame:
     )
 
 
-def first_rows(df: DataFrame, key: str, n: int) -> DataFrame:
-    """Exactly the first ``n`` rows in the order of md5(key), without one big limit.
+def row_slots(df: DataFrame, key: str, row_counts) -> DataFrame:
+    """Adds ``slot``: the smallest n in ``row_counts`` whose first n rows hold the row.
 
-    A plain ordered limit pulls n rows through one task. Here rows are counted in 65,536
-    hash ranges; whole ranges below the cut are kept as they are and only the range the
-    cut falls into is ranked. ``key`` must be unique.
+    Rows are taken in the order of md5(key), which must be unique; rows beyond the
+    largest n are left out. A plain ordered limit pulls n rows through one task. Here rows
+    are counted in 65,536 hash ranges; a range that no n falls into is kept as a whole,
+    and only the ranges holding a cut are ranked.
     """
     from pyspark.sql import Window
 
+    sizes = sorted(row_counts)
     hashed = df.withColumn("_h", F.md5(F.col(key).cast("string")))
     hashed = hashed.withColumn("_b", F.substring("_h", 1, 4))
     counts = hashed.groupBy("_b").agg(_n().alias("_n"))
-    running = counts.withColumn("_upto", F.sum("_n").over(Window.orderBy("_b")))
-    cut = running.where(F.col("_upto") - F.col("_n") < n)
-    # At most 16^4 rows of two small columns, whatever the size of df.
-    kept = hashed.join(F.broadcast(cut.select("_b", "_n", "_upto")), "_b")
-    whole = kept.where(F.col("_upto") <= n).select(*df.columns)
+    # The window holds 16^4 rows at most, whatever the size of df; so does the broadcast.
+    ranges = counts.withColumn("_upto", F.sum("_n").over(Window.orderBy("_b")))
+    ranges = ranges.withColumn("_before", F.col("_upto") - F.col("_n"))
+    cut = F.lit(False)
+    for n in sizes:
+        cut = cut | ((F.col("_before") < n) & (F.col("_upto") > n))
+    ranges = ranges.where(F.col("_before") < sizes[-1]).select("_b", "_before", "_upto", cut.alias("_cut"))
+    placed = hashed.join(F.broadcast(ranges), "_b")
+
+    def smallest_holding(rank: Column) -> Column:
+        slot = F.lit(None).cast("bigint")
+        for n in reversed(sizes):
+            slot = F.when(rank <= n, F.lit(n).cast("bigint")).otherwise(slot)
+        return slot
+
+    whole = placed.where("NOT _cut").select(*df.columns, smallest_holding(F.col("_upto")).alias("slot"))
     rank = F.row_number().over(Window.partitionBy("_b").orderBy("_h", key))
-    part = (
-        kept.where(F.col("_upto") > n)
-        .withColumn("_r", rank)
-        .where(F.col("_r") <= n - (F.col("_upto") - F.col("_n")))
-        .select(*df.columns)
-    )
-    return whole.unionByName(part)
+    ranked = placed.where("_cut").withColumn("_rank", F.col("_before") + rank)
+    part = ranked.select(*df.columns, smallest_holding(F.col("_rank")).alias("slot"))
+    return whole.unionByName(part.where(F.col("slot").isNotNull()))
+
+
+def first_rows(df: DataFrame, key: str, n: int) -> DataFrame:
+    """Exactly the first ``n`` rows in the order of md5(key)."""
+    return row_slots(df, key, [n]).drop("slot")
 
 
 def carrier_summary(flights: DataFrame) -> DataFrame:
@@ -149,14 +163,26 @@ def carrier_summary(flights: DataFrame) -> DataFrame:
 
 
 def scale_sweep(flights: DataFrame, row_counts=(1_000_000, 2_000_000)) -> DataFrame:
-    """The carrier summary over the first n flights, for each n."""
-    out = None
-    for n in row_counts:
-        part = carrier_summary(first_rows(flights, "flight_id", n)).withColumn(
-            "row_count", F.lit(n).cast("bigint")
+    """The carrier summary over the first n flights, for each n, in one pass.
+
+    Flights are summed per (carrier, slot); the first n flights are the slots up to n.
+    """
+    sums = row_slots(flights, "flight_id", row_counts).groupBy("carrier", "slot").agg(
+        _n().alias("n"), _delayed().alias("d"), F.sum(_delay()).alias("t")
+    )
+    sizes = F.array(*[F.lit(n).cast("bigint") for n in sorted(row_counts)])
+    per_size = sums.select("carrier", "n", "d", "t", F.explode(
+        F.filter(sizes, lambda n: n >= F.col("slot"))).alias("row_count"))
+    n = F.sum("n")
+    return (
+        per_size.groupBy("carrier", "row_count")
+        .agg(
+            n.alias("total_flights"),
+            share(n - F.sum("d"), n, 4).alias("on_time_pct"),
+            mean_of_tenths(F.sum("t"), n, 2).alias("avg_delay"),
         )
-        out = part if out is None else out.unionByName(part)
-    return out.orderBy("row_count", F.desc("on_time_pct"), "carrier")
+        .orderBy("row_count", F.desc("on_time_pct"), "carrier")
+    )
 
 
 def timed_sweep(flights: DataFrame, row_counts=(1_000_000, 2_000_000)) -> list[dict]:
@@ -283,7 +309,7 @@ def numeric_summary(flights: DataFrame, columns: dict[str, int]) -> DataFrame:
     """
     pairs = F.explode(F.array(*[
         F.struct(F.lit(c).alias("metric"), F.lit(10 ** d).alias("scale"),
-                 F.round(F.col(c) * (10 ** d)).cast("bigint").alias("v"))
+                 F.rint(F.col(c) * (10 ** d)).cast("bigint").alias("v"))
         for c, d in columns.items()
     ]))
     histogram = (

@@ -103,7 +103,7 @@ def _airports_along(routes: DataFrame, n: int) -> DataFrame:
 
 def _risk_columns(n: int, threshold: float) -> list[Column]:
     """Risk aggregates over (impact, points) rows of one route and time."""
-    milli = F.round(F.coalesce(F.col("impact"), F.lit(0.0)) * 1000).cast("bigint")
+    milli = F.rint(F.coalesce(F.col("impact"), F.lit(0.0)) * 1000).cast("bigint")
     impacted = F.sum(F.when(milli > int(round(threshold * 1000)), F.col("points")).otherwise(0))
     mean = F.sum(milli * F.col("points")).cast("double") / F.lit(1000.0 * n)
     worst = F.max(milli) / F.lit(1000.0)
@@ -129,7 +129,7 @@ def risk_at_times(
     along = _airports_along(dims.airport_pairs(keys.sparkSession, table), n)
     expanded = keys.join(F.broadcast(along), _ROUTE)
     scored = weather.as_of(
-        expanded, weather.hourly_reports(reports), airports, airport="airport", ts="ts",
+        expanded, reports, airports, airport="airport", ts="ts",
         values={"weather_impact_score": "impact"},
     )
     return scored.groupBy(*_ROUTE, "ts").agg(*_risk_columns(n, threshold))

@@ -7,13 +7,12 @@ a busy route is one counted row like any other.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from avspark import dims
 from avspark.functions import flights as ff
 from avspark.functions import geo
-from avspark.operators.lookups import with_route_airports
 
 N_POSITIONS = 30
 _ROUTE = ["origin", "destination"]
@@ -45,7 +44,7 @@ def in_sectors(points: DataFrame, lat: str = "latitude", lon: str = "longitude")
 def positions_per_sector(points: DataFrame, spark: SparkSession) -> DataFrame:
     """The grid with the number of given positions in each sector."""
     counts = in_sectors(points).groupBy("sector_id").agg(F.count(F.lit(1)).alias("positions"))
-    return sector_grid(spark).join(counts, "sector_id", "left").na.fill(0, ["positions"])
+    return sector_grid(spark).join(F.broadcast(counts), "sector_id", "left").na.fill(0, ["positions"])
 
 
 def flights_per_leg(flights: DataFrame) -> DataFrame:
@@ -55,37 +54,47 @@ def flights_per_leg(flights: DataFrame) -> DataFrame:
     ).agg(F.count(F.lit(1)).alias("flights"))
 
 
-def leg_positions(legs: DataFrame, airports: DataFrame, n: int = N_POSITIONS) -> DataFrame:
-    """Positions along each leg with the clock hour they fall in (wrapping at 24).
+def path_points(spark: SparkSession, n: int = N_POSITIONS, table=dims.AIRPORTS) -> DataFrame:
+    """(origin, destination, i, frac, lat, lon, sector_id) for every airport pair.
 
-    ``legs`` has origin, destination, dep_hour, duration_min and flights. Paths are
-    computed per (route, duration); the departure hours of a path are carried as an
-    array of at most 24 entries and expanded after the trigonometry.
+    At most 50*49*n rows, fixed by the airport dimension. It is computed while the
+    flights are still being counted and then broadcast.
     """
-    paths = legs.groupBy(*_ROUTE, "duration_min").agg(
-        F.collect_list(F.struct("dep_hour", "flights")).alias("departures")
+    points = geo.along_great_circle(dims.airport_pairs(spark, table), n)
+    return points.select(
+        *_ROUTE, "i", "frac", "lat", "lon", geo.sector_id(F.col("lat"), F.col("lon")).alias("sector_id")
     )
-    points = geo.along_great_circle(with_route_airports(paths, airports), n)
+
+
+def _clock_hour() -> Column:
+    """Hour of day at a point of a leg: whole hours elapsed since departure, wrapped."""
     elapsed = F.floor(F.col("frac") * F.col("duration_min") / 60).cast("int")
-    return points.select(
-        *_ROUTE, "duration_min", "i", "lat", "lon", elapsed.alias("_elapsed"),
-        F.inline("departures"),
-    ).withColumn("hour", F.pmod(F.col("dep_hour") + F.col("_elapsed"), F.lit(24))).drop("_elapsed")
+    return F.pmod(F.col("dep_hour") + elapsed, F.lit(24))
+
+
+def leg_positions(legs: DataFrame, n: int = N_POSITIONS, table=dims.AIRPORTS) -> DataFrame:
+    """Positions along each leg with the clock hour they fall in.
+
+    ``legs`` has origin, destination, dep_hour, duration_min and flights.
+    """
+    points = F.broadcast(path_points(legs.sparkSession, n, table))
+    return legs.join(points, _ROUTE).withColumn("hour", _clock_hour())
 
 
-def sector_load(flights: DataFrame, airports: DataFrame, n: int = N_POSITIONS) -> DataFrame:
+def sector_load(flights: DataFrame, n: int = N_POSITIONS, table=dims.AIRPORTS) -> DataFrame:
     """Dense sector x hour load: counted positions, and distinct flights.
 
     A flight's path crosses the same cells as every other flight of its leg, so distinct
-    flights are summed per leg and cell instead of collecting flight ids.
+    flights are the sum of the legs' counts; no flight id is ever collected.
     """
-    placed = in_sectors(leg_positions(flights_per_leg(flights), airports, n), "lat", "lon")
-    per_leg = (
-        placed.where(F.col("sector_id").isNotNull())
-        .groupBy(*_ROUTE, "duration_min", "dep_hour", "sector_id", "hour")
-        .agg(F.count(F.lit(1)).alias("points"), F.first("flights").alias("flights"))
+    crossed = (
+        # Points outside the grid become -1 and fall away in the final join.
+        leg_positions(flights_per_leg(flights), n, table)
+        .groupBy(*_ROUTE, "dep_hour", "duration_min",
+                 F.coalesce("sector_id", F.lit(-1)).alias("sector_id"), "hour")
+        .agg(F.count(F.lit(1)).alias("points"), F.max("flights").alias("flights"))
     )
-    load = per_leg.groupBy("sector_id", "hour").agg(
+    load = crossed.groupBy("sector_id", "hour").agg(
         F.sum(F.col("points") * F.col("flights")).alias("positions"),
         F.sum("flights").alias("distinct_flights"),
     )
@@ -97,7 +106,8 @@ def densify(load: DataFrame, spark: SparkSession, counts: list[str]) -> DataFram
     grid = sector_grid(spark).select(
         "sector_id", "sector", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hour")
     )
-    return grid.join(load, ["sector_id", "hour"], "left").na.fill(0, counts)
+    # One row per cell and hour at most.
+    return grid.join(F.broadcast(load), ["sector_id", "hour"], "left").na.fill(0, counts)
 
 
 def overloaded(load: DataFrame, threshold: int = dims.SECTOR_OVERLOAD) -> DataFrame:

@@ -19,14 +19,18 @@ def _hour_of(ts: Column) -> Column:
     return F.date_trunc("hour", ts).cast("timestamp_ntz")
 
 
-def hourly_reports(reports: DataFrame) -> DataFrame:
-    """The last report of each airport and hour; ``ts`` becomes the hour."""
-    values = [c for c in reports.columns if c not in ("airport", "ts")]
-    return (
-        reports.groupBy("airport", _hour_of(F.col("ts")).alias("_hour"))
-        .agg(F.max_by(F.struct(*values), "ts").alias("_v"))
-        .select("airport", F.col("_hour").alias("ts"), "_v.*")
+def hourly_reports(reports: DataFrame, *values: str) -> DataFrame:
+    """The last report of each airport and hour; ``ts`` becomes the hour.
+
+    Only the named columns are kept. A single numeric one is reduced by hash aggregation;
+    several travel as one struct so that a row's values stay together.
+    """
+    one = F.col(values[0]) if len(values) == 1 else F.struct(*values)
+    newest = reports.groupBy("airport", _hour_of(F.col("ts")).alias("_hour")).agg(
+        F.max_by(one, "ts").alias("_v")
     )
+    out = [F.col("_v").alias(values[0])] if len(values) == 1 else [F.col("_v.*")]
+    return newest.select("airport", F.col("_hour").alias("ts"), *out)
 
 
 def timeline(hourly: DataFrame) -> DataFrame:
@@ -41,7 +45,7 @@ def timeline(hourly: DataFrame) -> DataFrame:
 
 
 def as_of(
-    keys: DataFrame, hourly: DataFrame, airports: DataFrame, *,
+    keys: DataFrame, reports: DataFrame, airports: DataFrame, *,
     airport: str, ts: str, values: dict[str, str],
 ) -> DataFrame:
     """Adds the report in force at ``ts``: the hour's own or the last one before it.
@@ -54,6 +58,7 @@ def as_of(
     the timeline join is an equi join on (airport, hour), for which AQE picks broadcast
     or a skew-split shuffle from measured sizes.
     """
+    hourly = hourly_reports(reports, *values)
     span = (
         hourly.join(F.broadcast(airports.select(F.col("code").alias("airport"))), "airport", "left_semi")
         .groupBy(F.col("airport").alias(airport))
@@ -74,10 +79,9 @@ def as_of(
 
 def flight_weather(flights: DataFrame, reports: DataFrame, airports: DataFrame) -> DataFrame:
     """Impact and conditions at both ends of each flight, as of departure."""
-    hourly = hourly_reports(reports)
     for role in ("origin", "destination"):
         flights = as_of(
-            flights, hourly, airports, airport=role, ts="scheduled_departure",
+            flights, reports, airports, airport=role, ts="scheduled_departure",
             values={"weather_impact_score": f"{role}_impact", "conditions": f"{role}_conditions"},
         )
     return flights
@@ -90,7 +94,7 @@ def conditions_at(reports: DataFrame, airports: DataFrame, at: str) -> DataFrame
         F.col("code").alias("airport"), "city", F.expr(f"timestamp_ntz'{at}'").alias("reference_time")
     )
     return as_of(
-        keys, hourly_reports(reports), airports, airport="airport", ts="reference_time",
+        keys, reports, airports, airport="airport", ts="reference_time",
         values={c: c for c in columns},
     ).where(F.col("weather_impact_score").isNotNull())
 
@@ -101,14 +105,14 @@ def pinned_impacts(reports: DataFrame, airports: DataFrame, day: str = "2024-01-
         F.col("code").alias("airport"), F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hour")
     ).withColumn("reference_time", F.expr(f"timestamp_ntz'{day} 00:00:00'") + F.make_dt_interval(hours=F.col("hour")))
     return as_of(
-        keys, hourly_reports(reports), airports, airport="airport", ts="reference_time",
+        keys, reports, airports, airport="airport", ts="reference_time",
         values={"weather_impact_score": "impact"},
     ).drop("reference_time")
 
 
 def hourly_impact(reports: DataFrame, airports: DataFrame) -> DataFrame:
     """Mean impact per airport and hour of day, dense, zero where nothing was reported."""
-    thousandths = F.sum(F.round(F.col("weather_impact_score") * 1000).cast("bigint"))
+    thousandths = F.sum(F.rint(F.col("weather_impact_score") * 1000).cast("bigint"))
     means = reports.groupBy("airport", "hour").agg(
         round_dp(thousandths.cast("double") / (F.count(F.lit(1)) * F.lit(1000.0)), 4).alias("mean_impact")
     )

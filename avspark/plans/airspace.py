@@ -359,7 +359,7 @@ _LEG_HOUR = "CAST((dep_hour + CAST(floor(frac*duration_min/60) AS INTEGER))%24 A
     "perf", "pairs", legs=_LEGS, wp=great_circle("legs", 30)))
 def g4(spark, sf_dir):
     legs = sectors.flights_per_leg(_flights(spark, sf_dir, "origin", "destination", "dep_hour", "distance_mi"))
-    points = sectors.leg_positions(legs, _net(spark))
+    points = sectors.leg_positions(legs)
     return points.select("origin", "destination", "duration_min", "dep_hour", "flights", "i",
                          round_dp(F.col("lat"), 4).alias("lat"), round_dp(F.col("lon"), 4).alias("lon"), "hour")
 
@@ -383,7 +383,7 @@ _LOAD_CTES = dict(
 
 def _load(spark, sf_dir):
     flights = _flights(spark, sf_dir, "origin", "destination", "dep_hour", "distance_mi")
-    return sectors.sector_load(flights, _net(spark))
+    return sectors.sector_load(flights)
 
 
 @query("a18_sector_load", with_ctes("SELECT * FROM dense", "perf", "pairs", **_LOAD_CTES))

@@ -34,6 +34,8 @@ def build_session(
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+        # Call-site capture costs about a millisecond for each Column built.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.ui.enabled": "false",
     }
     if shuffle_partitions:

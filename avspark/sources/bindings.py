@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from avspark import dims
+from avspark import dims, schemas
 from avspark.functions import flights as ff
 from avspark.functions import geo, positions
 from avspark.functions.numeric import round_dp
@@ -32,7 +32,7 @@ _FROM_ORDERS = {"year", "month", "day_of_month", "day_of_week", "order_date"}
 
 
 def _cents() -> Column:
-    return F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    return F.rint(F.col("l_extendedprice") * 100).cast("bigint")
 
 
 def _delay_tenths() -> Column:
@@ -44,13 +44,19 @@ def _delay_tenths() -> Column:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return pin_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return pin_utc(spark).read.schema(schemas.TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def airport_distances(spark: SparkSession) -> DataFrame:
-    """(origin, destination, distance_mi) for the network: 600 rows, fixed."""
+    """(pair_id, distance_mi) for the network: 600 rows, fixed.
+
+    pair_id is origin ordinal * 25 + destination ordinal.
+    """
+    codes = dims.constants(dims.NETWORK_CODES)
+    origin = F.array_position(codes, F.col("origin")) - 1
+    destination = F.array_position(codes, F.col("destination")) - 1
     return dims.airport_pairs(spark).select(
-        "origin", "destination",
+        (origin * 25 + destination).alias("pair_id"),
         round_dp(geo.haversine_mi(F.col("o_lat"), F.col("o_lon"), F.col("d_lat"), F.col("d_lon")), 1)
         .alias("distance_mi"),
     )
@@ -58,27 +64,25 @@ def airport_distances(spark: SparkSession) -> DataFrame:
 
 def _flight_base(spark: SparkSession, sf_dir: str, wanted: set[str]) -> DataFrame:
     df = table(spark, sf_dir, "lineitem")
-    route = bool(wanted & {"origin", "destination", "distance_mi"})
     need_dest = bool(wanted & {"destination", "distance_mi"})
     if need_dest or wanted & _FROM_ORDERS:
         orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
         df = df.join(orders, df.l_orderkey == orders.o_orderkey, "left")
-    if route:
+    if need_dest or "origin" in wanted:
         supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
         df = df.join(supplier, df.l_suppkey == supplier.s_suppkey, "left")
         df = df.withColumn("origin", dims.pick(dims.NETWORK_CODES, F.col("s_nationkey")))
-    if need_dest:
-        customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-        df = df.join(customer, df.o_custkey == customer.c_custkey, "left")
-        detour = (F.col("c_nationkey") + 1 + F.col("l_partkey") % 24) % 25
-        df = df.withColumn(
-            "destination",
-            F.when(F.col("c_nationkey") == F.col("s_nationkey"), dims.pick(dims.NETWORK_CODES, detour))
-            .otherwise(dims.pick(dims.NETWORK_CODES, F.col("c_nationkey"))),
-        )
+    if not need_dest:
+        return df
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    df = df.join(customer, df.o_custkey == customer.c_custkey, "left")
+    detour = (F.col("c_nationkey") + 1 + F.col("l_partkey") % 24) % 25
+    to = F.when(F.col("c_nationkey") == F.col("s_nationkey"), detour).otherwise(F.col("c_nationkey"))
+    df = df.withColumn("destination", dims.pick(dims.NETWORK_CODES, to))
     if "distance_mi" in wanted:
-        # 600 fixed rows: the broadcast cannot grow with the data.
-        df = df.join(F.broadcast(airport_distances(spark)), ["origin", "destination"], "left")
+        # 600 fixed rows under one integer key: the broadcast cannot grow with the data.
+        df = df.withColumn("pair_id", F.col("s_nationkey").cast("bigint") * 25 + to)
+        df = df.join(F.broadcast(airport_distances(spark)), "pair_id", "left")
     return df
 
 
@@ -152,7 +156,7 @@ def _k() -> Column:
 
 
 def _value_cents() -> Column:
-    return F.round(F.col("value") * 100).cast("bigint")
+    return F.rint(F.col("value") * 100).cast("bigint")
 
 
 def weather_obs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ LATE = "5 minutes"
 def event_stream(spark: SparkSession, folder: str, files_per_batch: int = 1, glob: str = "events.parquet") -> DataFrame:
     """Event files of a folder as they land."""
     return (
-        pin_utc(spark).readStream.schema(schemas.EVENTS)
+        pin_utc(spark).readStream.schema(schemas.TABLES["events"])
         .option("maxFilesPerTrigger", files_per_batch).option("pathGlobFilter", glob)
         .parquet(folder)
     )
