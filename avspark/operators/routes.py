@@ -65,7 +65,7 @@ def annotated_waypoints(
     points = with_nearest_airport(
         with_path_distance(route_points(distinct_routes(flights, airports), n))
     )
-    now = weather.conditions_at(reports, airports, at).select(
+    now = weather.conditions_at(reports, airports, at, ("weather_impact_score",)).select(
         F.col("airport").alias("nearest_airport"), "weather_impact_score"
     )
     # One row per airport of the fixed dimension.

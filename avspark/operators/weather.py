@@ -87,9 +87,15 @@ def flight_weather(flights: DataFrame, reports: DataFrame, airports: DataFrame)
     return flights
 
 
-def conditions_at(reports: DataFrame, airports: DataFrame, at: str) -> DataFrame:
+CONDITION_COLUMNS = (
+    "conditions", "visibility_sm", "ceiling_ft", "wind_speed_kts", "weather_impact_score",
+)
+
+
+def conditions_at(
+    reports: DataFrame, airports: DataFrame, at: str, columns=CONDITION_COLUMNS
+) -> DataFrame:
     """Report in force at one time for every airport that has reports."""
-    columns = ("conditions", "visibility_sm", "ceiling_ft", "wind_speed_kts", "weather_impact_score")
     keys = airports.select(
         F.col("code").alias("airport"), "city", F.expr(f"timestamp_ntz'{at}'").alias("reference_time")
     )
