@@ -149,8 +149,16 @@ def flight_map_rows(flights: DataFrame) -> DataFrame:
 
 
 def with_predictions(flights: DataFrame, predictions: DataFrame) -> DataFrame:
-    """Flights with their predictions (one to many, kept when there is none)."""
-    return flights.join(predictions, "flight_id", "left")
+    """Flights with their predictions (one to many, kept when there is none).
+
+    An outer join cannot split a flight that holds a large part of all predictions; an
+    inner join can. So matches are joined inside and flights without any are added, found
+    by an anti join against the distinct ids.
+    """
+    matched = flights.join(predictions, "flight_id")
+    ids = predictions.select("flight_id").distinct()
+    alone = flights.join(ids, "flight_id", "left_anti")
+    return matched.unionByName(alone, allowMissingColumns=True)
 
 
 def cascade_delete(predictions: DataFrame, deleted: DataFrame) -> DataFrame:

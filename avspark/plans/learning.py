@@ -35,8 +35,9 @@ def _features(spark, sf_dir):
 
 
 def _models(spark, sf_dir):
-    """One model per data folder, trained on first use and loaded afterwards."""
-    name = hashlib.md5(sf_dir.encode()).hexdigest()[:10]
+    """One model per data folder and settings, trained on first use and loaded afterwards."""
+    settings = (sf_dir, ft.FEATURES, md.TREES, md.REGRESSOR_DEPTH, md.CLASSIFIER_DEPTH, md.MIN_LEAF, md.SEED)
+    name = hashlib.md5(repr(settings).encode()).hexdigest()[:10]
     return md.load_or_train(md.split(_features(spark, sf_dir))[0], f"{work_dir(spark)}/delay-model-{name}")
 
 

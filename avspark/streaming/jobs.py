@@ -40,8 +40,15 @@ def position_stream(events: DataFrame) -> DataFrame:
 
 
 def without_repeats(states: DataFrame, late: str = LATE) -> DataFrame:
-    """One row per aircraft and report time; state is dropped behind the watermark."""
-    return states.withWatermark("ts", late).dropDuplicatesWithinWatermark(["icao24", "ts"])
+    """One row per aircraft and report time; state is dropped behind the watermark.
+
+    Copies are first dropped per source partition, which spreads a report repeated very
+    many times over all tasks; what is left meets in the second step.
+    """
+    keys = ["icao24", "ts"]
+    spread = states.withWatermark("ts", late).withColumn("_part", F.spark_partition_id())
+    once_per_part = spread.dropDuplicatesWithinWatermark([*keys, "_part"])
+    return once_per_part.dropDuplicatesWithinWatermark(keys).drop("_part")
 
 
 def latest_state(states: DataFrame) -> DataFrame:
@@ -136,11 +143,24 @@ def _track_freshness(
     yield row(newest, age, _age_status(age))
 
 
+def _newest_per_chunk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Map-side reduction: one row per aircraft and Arrow chunk."""
+    for batch in batches:
+        yield batch.groupby("icao24", as_index=False)["ts_ms"].max()
+
+
 def freshness(states: DataFrame, late: str = LATE) -> DataFrame:
-    """Freshness transitions per aircraft, with expiry by event time."""
+    """Freshness transitions per aircraft, with expiry by event time.
+
+    Only the newest report time of an aircraft matters, so each task keeps just that
+    before the shuffle; a very chatty aircraft then sends a few rows, not its reports.
+    """
+    reduced = states.select("icao24", F.unix_millis("ts").alias("ts_ms")).mapInPandas(
+        _newest_per_chunk, "icao24 string, ts_ms bigint"
+    )
     return (
-        states.withWatermark("ts", late).withColumn("ts_ms", F.unix_millis("ts"))
-        .select("icao24", "ts", "ts_ms").groupBy("icao24")
+        reduced.withColumn("ts", F.timestamp_millis("ts_ms")).withWatermark("ts", late)
+        .groupBy("icao24")
         .applyInPandasWithState(
             _track_freshness,
             outputStructType="icao24 string, ts_ms bigint, age_s double, status string",

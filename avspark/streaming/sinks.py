@@ -74,12 +74,16 @@ def run_snapshots(
 ) -> StreamingQuery:
     """Each micro-batch becomes one snapshot, stamped with its newest report time."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        # One number comes back to the driver; the states stay distributed.
-        newest = batch.agg(F.max(F.unix_seconds("ts")).alias("t")).first()["t"]
-        if newest is None:
-            return
-        log = snapshots.to_log(batch, F.lit(newest)).drop("fetched_at")
-        log.write.mode("overwrite").parquet(f"{path}/fetched_at={newest}")
+        batch.persist()
+        try:
+            # One number comes back to the driver; the states stay distributed.
+            newest = batch.agg(F.max(F.unix_seconds("ts")).alias("t")).first()["t"]
+            if newest is None:
+                return
+            log = snapshots.to_log(batch, F.lit(newest)).drop("fetched_at")
+            log.write.mode("overwrite").parquet(f"{path}/fetched_at={newest}")
+        finally:
+            batch.unpersist()
         drop_old_snapshots(batch.sparkSession, path, keep)
 
     query = (
