@@ -63,11 +63,7 @@ def compare(spark, con, sf_dir, name, fn, sql) -> str | None:
     diff = [(x, y) for x, y in zip(a, b) if x != y]
     if diff:
         return f"{len(diff)} of {len(a)} rows differ {sorted(cols)}: {diff[:2]}"
-    if bad:
-        return f"types {bad}"
-    if not got:
-        return "no rows"
-    return None
+    return f"types {bad}" if bad else None
 
 
 def main(argv):
