@@ -15,8 +15,6 @@ from avspark.session import new_path
 from avspark.sources import bindings as b
 from avspark.sources import files
 
-_DEGREES = "origin, destination"
-
 
 @query("s1_s2_parquet_round_trip", with_ctes(f"""
     SELECT CAST(year AS SMALLINT) AS year, CAST(month AS TINYINT) AS month,

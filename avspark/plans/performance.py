@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from avspark import dims
-from avspark.functions import geo
 from avspark.operators import performance as op
 from avspark.plans.ctes import rnd, with_ctes
 from avspark.plans.registry import query

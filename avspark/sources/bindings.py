@@ -92,7 +92,7 @@ def _shared_columns() -> dict[str, Column]:
     return {
         "flight_id": F.concat_ws(
             "-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-            _cents().cast("string"), F.date_format("l_shipdate", "yyyyMMdd"),
+            _cents().cast("string"), F.expr("CAST(year(l_shipdate) * 10000 + month(l_shipdate) * 100 + day(l_shipdate) AS STRING)"),
         ),
         "year": F.year(date), "month": F.month(date), "day_of_month": F.dayofmonth(date),
         "day_of_week": F.weekday(date),
