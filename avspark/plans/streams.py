@@ -159,16 +159,30 @@ def x8_predictions(spark, sf_dir):
     return sinks.read_appended(spark, _run(spark, scored, "x8-predictions"))
 
 
-@query("x9_freshness")
+# The feed is one file, so one batch: every aircraft is fresh once, then the watermark
+# passes those whose last report is too old.
+@query("x9_freshness", with_ctes("""
+    SELECT icao24, ts_ms, 0.0::DOUBLE AS age_s, 'FRESH' AS status FROM newest
+    UNION ALL SELECT icao24, ts_ms, 300.0::DOUBLE, 'EXPIRED' FROM newest
+    WHERE ts_ms + 300000 < (SELECT max(ts_ms) FROM newest) - 300000""",
+    "states", newest=f"SELECT icao24, max(epoch_us(ts)//1000) AS ts_ms FROM states WHERE {_BOX} GROUP BY icao24"))
 def x9(spark, sf_dir):
     table = _run(spark, jobs.freshness(_positions(spark, sf_dir)), "x9")
     return sinks.read_appended(spark, table)
 
 
-@query("x10_snapshot_sink")
+@query("x10_snapshot_sink", with_ctes("""
+    SELECT fetched_at, icao24, callsign, origin_country, longitude, latitude, altitude_m, velocity_mps,
+      heading_deg, on_ground
+    FROM (SELECT *, max(CAST(floor(epoch(ts)) AS BIGINT)) OVER (PARTITION BY CAST(ts AS DATE)) AS fetched_at
+          FROM inbox)
+    QUALIFY dense_rank() OVER (ORDER BY fetched_at DESC) <= 10""",
+    "states", inbox=f"SELECT * FROM states WHERE {_BOX}"))
 def x10(spark, sf_dir):
     path = new_path(spark, "x10")
-    b.table(spark, sf_dir, "events").repartitionByRange(12, "ts").write.parquet(f"{path}/feed")
+    events = b.table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    # One landed file, and so one poll, a day.
+    events.repartition("day").write.partitionBy("day").parquet(f"{path}/feed")
     feed = jobs.event_stream(spark, f"{path}/feed", glob="*.parquet")
     sinks.run_snapshots(jobs.position_stream(feed), f"{path}/log", f"{path}/checkpoint")
     log = spark.read.parquet(f"{path}/log")

@@ -27,6 +27,7 @@ def event_stream(spark: SparkSession, folder: str, files_per_batch: int = 1, glo
     return (
         pin_utc(spark).readStream.schema(schemas.TABLES["events"])
         .option("maxFilesPerTrigger", files_per_batch).option("pathGlobFilter", glob)
+        .option("recursiveFileLookup", "true")
         .parquet(folder)
     )
 
