@@ -1,0 +1,162 @@
+"""Exact dedup, PII, fingerprints and language ID against plain forms."""
+
+import hashlib
+import random
+import re
+import zlib
+
+from pyspark.sql import functions as F
+
+from avspark.llm import exact_dedup, fingerprints, language, pii, queries
+from tests.llm.conftest import ODD
+
+
+def same(text):
+    return re.sub(r"[\x20\x09-\x0D]+", " ", text or "")
+
+
+def check_groups(rows, texts):
+    size, first = {}, {}
+    for d, t in texts:
+        size[same(t)] = size.get(same(t), 0) + 1
+        if d is not None:
+            first[same(t)] = min(d, first.get(same(t), d))
+    want = sorted(str((d, first.get(same(t)), size[same(t)], hashlib.sha256(same(t).encode()).hexdigest())) for d, t in texts)
+    assert sorted(str((r.doc_id, r.keep_id, r.group_size, r.text_sha256)) for r in rows) == want
+    assert sum(r.kept for r in rows) == len(size)
+
+
+def test_exact_dedup(docs, plain, odd_docs, no_docs):
+    check_groups(exact_dedup.exact_groups(docs).collect(), list(plain.items()))
+    check_groups(exact_dedup.exact_groups(odd_docs).collect(), ODD)
+    assert exact_dedup.exact_groups(no_docs).count() == 0
+    kept = exact_dedup.without_copies(odd_docs)
+    assert kept.columns == odd_docs.columns
+    assert sorted(same(r.text) for r in kept.collect()) == sorted({same(t) for _, t in ODD})
+
+
+def test_exact_dedup_tells_collisions_apart(docs, plain, odd_docs):
+    few = lambda t: F.substring(F.md5(t), 1, 1)
+    check_groups(exact_dedup.exact_groups(docs, few).collect(), list(plain.items()))
+    check_groups(exact_dedup.exact_groups(odd_docs, lambda t: F.lit("x")).collect(), ODD)
+
+
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def base_spans(text):
+    out = []
+    for kind, pattern in PATTERNS.items():
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m[0])
+            if (kind == "ip" and any(int(x) > 255 for x in m[0].split(".")) or kind == "phone" and not 10 <= len(digits) <= 15
+                    or kind == "card" and not (14 <= len(digits) <= 19 and pii.luhn(digits))):
+                continue
+            out.append((kind, *m.span()))
+    return sorted(out, key=lambda s: (s[1], pii.KINDS.index(s[0])))
+
+
+def test_pii_base_spans_equal_the_patterns():
+    rng = random.Random(3)
+    cards = ["4111 1111 1111 1111", "378282246310005", "4111-1111-1111-1111 1"]
+    for _ in range(20000):
+        text = "".join(rng.choice("0123456789..  --++()@@ab%_é") for _ in range(rng.randrange(50)))
+        if rng.random() < 0.2:
+            text += rng.choice(cards) + rng.choice([" x", ".", "-1"])
+        assert [s for s in pii.spans_of(text) if s[0] in pii.BASE] == base_spans(text), text
+
+
+def test_pii_added_spans_and_masking(odd_docs, no_docs):
+    text = "see https://joe:pw@example.org/x, IBAN: GB82 WEST 1234 5698 7654 32. account no 123456789 ok; on account of 12 things"
+    assert [(k, text[a:b]) for k, a, b in pii.spans_of(text)] == [
+        ("address", "https://joe:pw@example.org/x,"), ("email", "pw@example.org"),
+        ("account", "GB82 WEST 1234 5698 7654 32"), ("account", "123456789")]
+    assert pii.masked_text("mail a@b.co, or +1 555 123 4567.") == "mail <EMAIL>, or <PHONE>."
+    for text in ("1" * 200000, "a" * 200000 + "@", "999." * 60000, "+1" + " " * 200000, "@" * 100000):
+        assert [s for s in pii.spans_of(text) if s[0] in pii.BASE] == []  # linear, so this ends
+    masked = pii.masked(odd_docs)
+    assert masked.columns == odd_docs.columns
+    assert sorted(str(r.text) for r in masked.collect()) == sorted(str(t) for _, t in ODD)
+    assert pii.masked(no_docs).count() == 0
+
+
+def test_op4(spark, sf_dir, plain):
+    for r in queries.op4_pii_spans(spark, sf_dir).collect():
+        base = base_spans(plain[r.doc_id])
+        joined = ",".join(f"{k}:{a}:{b}" for k, a, b in base)
+        assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(s[0] == k for s in base) for k in pii.BASE]
+        assert set(joined.split(",")) - {""} <= set(r.spans.split(","))
+
+
+def slow_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_edit_distance():
+    rng = random.Random(4)
+    for _ in range(2000):
+        a, b = ("".join(rng.choice("abc") for _ in range(rng.randrange(80))) for _ in "ab")
+        assert fingerprints.edit_distance(a, b) == slow_distance(a, b)
+
+
+def test_fingerprints_survive_edits():
+    rng = random.Random(5)
+    text = "".join(rng.choice("abcdefgh     \n") for _ in range(6000))
+    own = fingerprints.fingerprint(text)
+    assert fingerprints.likeness(own, fingerprints.fingerprint(text)) == 1
+    assert fingerprints.likeness(own, fingerprints.fingerprint(text[:3000] + "XYZ" + text[3000:])) > 0.9
+    other = "".join(rng.choice("abcdefgh     \n") for _ in range(6000))
+    assert fingerprints.likeness(own, fingerprints.fingerprint(other)) < 0.4
+
+
+def test_op2(spark, sf_dir, plain, odd_docs, no_docs):
+    order = sorted(plain, reverse=True)
+    after = dict(zip(order, order[1:] + order[:1], strict=True))
+    rows = queries.op2_document_fingerprints(spark, sf_dir).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(plain)
+    for r in rows:
+        text, following = plain[r.doc_id], plain[after[r.doc_id]]
+        half = len(text) // 2
+        edited = text[: len(text) - half] + following[:half]
+        assert (r.n_chars, r.edited_sha256) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
+        assert (r.fingerprint, r.edited_fingerprint) == (fingerprints.fingerprint(text), fingerprints.fingerprint(edited))
+        assert r.near_edited == fingerprints.likeness(r.fingerprint, r.edited_fingerprint)
+        assert r.near_next == fingerprints.likeness(r.fingerprint, fingerprints.fingerprint(following))
+    ordered = sorted(ODD, key=lambda r: (r[0] is None, -(r[0] or 0), r[1] or ""))
+    want = [fingerprints.edited_text(t or "", n or "") for (_, t), (_, n) in zip(ordered, ordered[1:] + ordered[:1], strict=True)]
+    got = fingerprints.compared(odd_docs).collect()
+    assert sorted(r.edited_sha256 for r in got) == sorted(hashlib.sha256(w.encode()).hexdigest() for w in want)
+    assert fingerprints.compared(no_docs).count() == 0
+    assert fingerprints.fingerprints(odd_docs).count() == len(ODD)
+
+
+def test_language_held_out_accuracy(spark, sf_dir, docs):
+    said = queries.op10_language_id(spark, sf_dir).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    assert len(said) == docs.count()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in said)
+    tried = [r for r in said if r.held_out]
+    assert sum(r.lang == r.lang_pred for r in tried) >= 0.97 * len(tried)
+    assert sum(r.rejected for r in said) <= 0.01 * len(said)
+
+
+def test_language_of_odd_rows(docs, odd_docs, no_docs):
+    model = language.fit(docs, F.lit(True), fit_rows=200)
+    out = language.identified(odd_docs, model)
+    assert set(odd_docs.columns) < set(out.columns)
+    und = [r for r in out.collect() if r.lang_pred == "und"]
+    assert sorted(str(r.text) for r in und) == ["", "None"] and all(r.lang_rejected and r.lang_score == 0 for r in und)
+    assert language.identified(no_docs, model).count() == 0
+    nothing = language.fit(no_docs, F.lit(True))
+    assert all(r.lang_rejected for r in language.identified(odd_docs, nothing).collect())
+    assert model.predict("1234 !?")[0] == "und"
+    whole = "Ein der die " * 30000  # very long: blocks give the same counts as one pass
+    counts = language.counts(whole)
+    assert counts.sum() == 3 * (len(whole.rstrip()) + 2) - 3
