@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from avspark.llm import bpe_job, exact_dedup, fingerprints, language, ngram_join, packing, pii, shards
+from avspark.llm import bpe_job, exact_dedup, fingerprints, language, licenses, line_dedup, ngram_join, packing, pii, shards
 from avspark.llm.common import documents
 
 
@@ -16,6 +16,43 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.repeated_lines(documents(spark, sf_dir)).select(
+        "doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"),
+        F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed"))
+
+
+OP1_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) - 1 AS line_no
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)
+), sets AS MATERIALIZED (
+  SELECT doc_id, line_no, list_sort(list_distinct(list_filter(
+    regexp_split_to_array(lower(line), '[\x20\x09-\x0D]+'), lambda x: x <> ''))) AS s FROM lines
+), firsts AS MATERIALIZED (
+  SELECT s, min((doc_id, line_no)) AS f, row_number() OVER (ORDER BY min((doc_id, line_no))) AS c, len(s) AS n
+  FROM sets WHERE len(s) > 0 GROUP BY s
+), words AS MATERIALIZED (SELECT c, n, unnest(s) AS w FROM firsts),
+counted AS (SELECT c, n, w, count(*) OVER (PARTITION BY w) AS freq FROM words),
+prefix AS MATERIALIZED (
+  SELECT c, n, w FROM (SELECT *, row_number() OVER (PARTITION BY c ORDER BY freq, w) AS i FROM counted)
+  WHERE i <= n - (n * 4 + 4) // 5 + 1
+), pairs AS (
+  SELECT DISTINCT a.c AS later, b.c AS earlier FROM prefix a JOIN prefix b ON a.w = b.w AND b.c < a.c
+    AND 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n)
+), gone AS (
+  SELECT DISTINCT later FROM pairs JOIN firsts x ON x.c = later JOIN firsts y ON y.c = earlier
+  WHERE 5 * len(list_intersect(x.s, y.s)) >= 4 * (x.n + y.n - len(list_intersect(x.s, y.s)))
+), removed AS (
+  SELECT s.doc_id, s.line_no FROM sets s JOIN firsts f ON s.s = f.s
+  WHERE (s.doc_id, s.line_no) <> f.f OR f.c IN (SELECT later FROM gone)
+)
+SELECT d.doc_id, len(string_split(coalesce(d.text, ''), chr(10)))::BIGINT AS n_lines,
+  count(r.line_no) AS n_removed, coalesce(string_agg(r.line_no, ',' ORDER BY r.line_no), '') AS removed
+FROM documents d LEFT JOIN removed r ON r.doc_id = d.doc_id GROUP BY d.doc_id, d.text
+"""
+
+
 def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compared(documents(spark, sf_dir))
 
@@ -38,6 +75,10 @@ def op4_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scanned(documents(spark, sf_dir))
+
+
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.linked(documents(spark, sf_dir))
 
@@ -99,7 +140,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op2_document_fingerprints, op3_token_shards, op4_pii_spans, op6_ngram_jaccard_join, op7_bpe_round_trip, op8_exact_dedup,
+        op1_line_dedup, op2_document_fingerprints, op3_token_shards, op4_pii_spans, op5_license_scan, op6_ngram_jaccard_join, op7_bpe_round_trip, op8_exact_dedup,
         op9_best_fit_packing, op10_language_id)
 }
-ORACLE: dict[str, str] = {"op6_ngram_jaccard_join": OP6_SQL, "op8_exact_dedup": OP8_SQL}
+ORACLE: dict[str, str] = {"op1_line_dedup": OP1_SQL, "op6_ngram_jaccard_join": OP6_SQL, "op8_exact_dedup": OP8_SQL}
