@@ -16,16 +16,16 @@ def components(links: DataFrame) -> DataFrame:
     they are shuffled, and joins are between stored tables, so that a hub can be split.
     """
     both = stored(links.select("a", "b").union(links.select("b", "a")).distinct(), "links")
-    labels = stored(both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("component")), "labels")
+    labels = both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("component"))
+    labels = stored(labels, "labels")
     while True:
         near = both.join(labels, both.b == labels.id).groupBy("a").agg(F.min("component").alias("near"))
         lower = stored(
             labels.join(near, labels.id == near.a)
             .select("id", F.least("component", "near").alias("component"), F.col("component").alias("was")), "labels")
+        if lower.where("component <> was").isEmpty():
+            return lower.select("id", "component")
         up = lower.select(F.col("id").alias("via"), F.col("component").alias("further"))
-        jumped = stored(
+        labels = stored(
             lower.join(up, F.col("component") == F.col("via"))
-            .select("id", F.least("component", "further").alias("component"), "was"), "labels")
-        if jumped.where("component <> was").isEmpty():
-            return jumped.select("id", "component")
-        labels = jumped.select("id", "component")
+            .select("id", F.least("component", "further").alias("component")), "labels")

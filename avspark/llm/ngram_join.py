@@ -10,9 +10,12 @@ are similar enough share a signature for certain; then the sets themselves are c
 
 Equal sets are one class, represented by its smallest id. Sets that share a signature are not
 compared pairwise: each is compared with one of them, links are joined into components, and
-only sets that are still in different components are compared further, at last each such
-pair. So no link between components is lost, while a large group of near copies costs about
-its size. Feature hashes have 64 bits, set hashes 128.
+this is repeated with other sets while it finds links. Only sets that are then still in
+different components are compared further, each such pair. So no link between components is
+lost, while a large group of near copies costs about its size. Every pair first has to pass
+two bounds that similar sets always keep: of their sizes, and of their parity sketches (a
+feature flips one of SKETCH_BITS bits, so sketches differ in no more bits than sets differ in
+features). Feature hashes have 64 bits, set hashes 128.
 
 Defined results: null text and text without words is an empty set, linked with nothing; fewer
 words than n give one feature; rows that repeat an id stand for one node; rows with a null id
@@ -26,15 +29,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from avspark.llm.common import slices, stored, texts
 from avspark.llm.components import components
 
-#: Rounds in which each set of a shared signature is compared with one other, before all
-#: pairs that are still in different components are.
-ROUNDS = 3
+SKETCH_BITS = 512
+_SKETCH = [f"s{i}" for i in range(SKETCH_BITS // 64)]
 _SMALL = 64
 _SLICE = 2 << 20
 
@@ -154,7 +156,7 @@ class PartEnum:
 
 
 def signed(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """doc_id, size, set_a, set_b (128-bit hash of the set), signatures."""
+    """doc_id, size, set_a, set_b (128-bit hash of the set), the sketch, signatures."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         method = PartEnum(percent)
@@ -163,12 +165,25 @@ def signed(docs: DataFrame, n: int, percent: int) -> DataFrame:
             total = lambda salt: pa.array(np.array([mix(s, salt).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64))
             marks = [method.signatures(s) if len(s) else np.empty(0, np.int64) for s in sets]
             cuts = np.concatenate([[0], np.cumsum([len(m) for m in marks])]).astype(np.int32)
+            odd = [np.bincount((mix(s, 31) % _u(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS) & 1 for s in sets]
+            sketch = np.packbits(np.stack(odd).astype(bool), axis=1).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), total(21), total(22),
+                 *(pa.array(np.ascontiguousarray(column)) for column in sketch.T),
                  pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.concatenate(marks)))],
-                ["doc_id", "size", "set_a", "set_b", "signatures"])
+                ["doc_id", "size", "set_a", "set_b", *_SKETCH, "signatures"])
 
-    return texts(docs).mapInArrow(run, "doc_id long, size long, set_a long, set_b long, signatures array<long>")
+    sketch = "".join(f"{c} long, " for c in _SKETCH)
+    return texts(docs).mapInArrow(run, f"doc_id long, size long, set_a long, set_b long, {sketch}signatures array<long>")
+
+
+def may_be_similar(a: str, b: str, percent: int) -> Column:
+    """Whether sizes and sketches (structs of that name) allow similar sets."""
+    x, y = F.col(a), F.col(b)
+    both = x["size"] + y["size"]
+    differ = sum((F.bit_count(x[c].bitwiseXOR(y[c])) for c in _SKETCH[1:]), F.bit_count(x[_SKETCH[0]].bitwiseXOR(y[_SKETCH[0]])))
+    return (F.least(x["size"], y["size"]) * 100 >= F.greatest(x["size"], y["size"]) * percent) & (
+        differ * (100 + percent) <= both * (100 - percent))
 
 
 _FILTER_WORDS = 1 << 16
@@ -231,40 +246,61 @@ def linked(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     marks = (rows.where("size > 0").join(copies, "doc_id", "left_anti")
              .select(F.col("doc_id").alias("id"), F.explode("signatures").alias("signature")))
 
+    sketch = rows.where("size > 0").select(F.col("doc_id").alias("id"), F.struct("size", *_SKETCH).alias("bound"))
     shared = stored(
         marks.groupBy("signature").agg(F.min("id").alias("a"), F.max("id").alias("b"), F.count("*").alias("members"))
         .where("a < b"), "shared-signatures")
-    larger = shared.where("members > 2")
-    members = stored(marks.join(larger.select("signature", "a"), "signature").select("signature", "id", "a").distinct(), "members")
-    tried = stored(
-        shared.where("members = 2").select("a", "b")
-        .union(members.where("id <> a").select("a", F.col("id").alias("b"))).distinct(), "pairs")
-    sets = stored(sets_of(docs, tried.select(F.explode(F.array("a", "b")).alias("id")).distinct(), n), "sets")
-    links = stored(verified(tried, sets, percent), "links")
-    labels = stored(components(links), "components")
-
-    for turn in range(ROUNDS + 1):
-        named = members.select("signature", "id").join(labels, "id", "left").select(
-            "signature", "id", F.coalesce("component", "id").alias("component"))
+    members = marks.join(shared.where("members > 2").select("signature", "a"), "signature").select("signature", "id", "a").distinct()
+    members = stored(members.join(sketch, "id"), "members")
+    pairs = shared.where("members = 2").select("a", "b").union(members.where("id <> a").select("a", F.col("id").alias("b"))).distinct()
+    pairs = (pairs.join(sketch.select(F.col("id").alias("a"), F.col("bound").alias("of_a")), "a")
+             .join(sketch.select(F.col("id").alias("b"), F.col("bound").alias("of_b")), "b")
+             .where(may_be_similar("of_a", "of_b", percent)).select("a", "b").distinct())
+    pairs = stored(pairs, "pairs")
+    may_link = pairs.select(F.explode(F.array("a", "b")).alias("id")).union(members.select("id")).distinct()
+    sets = stored(sets_of(docs, may_link, n), "sets")
+    tried = pairs
+    labels = stored(components(verified(pairs, sets, percent)), "components")
+
+    turn, last = 0, False
+    while True:
+        named = members.select("signature", "id", "bound").join(labels, "id", "left").select(
+            "signature", "id", "bound", F.coalesce("component", "id").alias("component"))
         named = stored(named, "named-members")
-        split = named.groupBy("signature").agg(
-            F.min("component").alias("low"), F.max("component").alias("high"),
-            F.min_by(F.struct("id", "component"), F.xxhash64("id", F.lit(turn))).alias("star")).where("low < high")
-        split = stored(split.select("signature", "star"), "split-signatures")
-        if split.isEmpty():
-            break
-        members = stored(named.join(split, "signature").select("signature", "id", "component", "star"), "members")
-        if turn < ROUNDS:
-            pairs = members.where("component <> star.component").select(
-                F.least("id", "star.id").alias("a"), F.greatest("id", "star.id").alias("b"))
+        split = stored(
+            named.groupBy("signature").agg(
+                F.min("component").alias("low"), F.max("component").alias("high"),
+                F.min_by("id", F.xxhash64("id", F.lit(turn))).alias("star"))
+            .where("low < high").select("signature", "star"), "split-signatures")
+        members = named.join(split.select("signature"), "signature", "left_semi")
+        other = members.select("signature", F.col("id").alias("b"), F.col("component").alias("to"), F.col("bound").alias("of_b"))
+        own = members.select("signature", F.col("id").alias("a"), F.col("component").alias("at"), F.col("bound").alias("of_a"))
+        if last:
+            pairs = own.join(other, "signature").where(F.col("a") < F.col("b"))
         else:
-            other = members.select("signature", F.col("id").alias("b"), F.col("component").alias("of_b"))
-            pairs = (members.select("signature", F.col("id").alias("a"), F.col("component").alias("of_a"))
-                     .join(other, "signature").where("a < b and of_a <> of_b").select("a", "b"))
-        pairs = stored(pairs.distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
-        tried = stored(tried.union(pairs), "tried")
-        links = stored(links.union(verified(pairs, sets, percent)), "links")
-        labels = stored(components(links), "components")
+            star = stored(other.join(split, (other["signature"] == split["signature"]) & (F.col("b") == F.col("star")))
+                          .select(other["signature"], "b", "to", "of_b"), "stars")
+            pairs = own.join(star, "signature")
+        pairs = (pairs.where((F.col("at") != F.col("to")) & may_be_similar("of_a", "of_b", percent))
+                 .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.least("at", "to").alias("at"), F.greatest("at", "to").alias("to"))
+                 .distinct().join(tried, ["a", "b"], "left_anti"))
+        pairs = stored(pairs, "pairs")
+        tested = pairs.count()
+        found = 0
+        if tested:
+            right = verified(pairs.select("a", "b"), sets, percent)
+            joined = stored(pairs.join(right, ["a", "b"]).select(F.col("at").alias("a"), F.col("to").alias("b")).distinct(), "joined")
+            found = joined.count()
+        if found:
+            moved = components(joined).select(F.col("id").alias("component"), F.col("component").alias("into"))
+            every = labels.union(moved.select("component", "component")).distinct()
+            labels = stored(every.join(moved, "component", "left").select(
+                "id", F.coalesce("into", "component").alias("component")), "components")
+        if last:
+            break
+        tried = tried.union(pairs.select("a", "b"))
+        turn, last = turn + 1, found * 20 <= tested
+        members = named
 
     first = F.coalesce("first_id", "doc_id")
     # A class's members are at most as many as its copies; joins are between stored tables.
