@@ -28,9 +28,9 @@ from pyspark.sql import functions as F
 
 from avspark.llm.common import slices, stored, texts
 
-DIMENSIONS = 1 << 13
+DIMENSIONS = 1 << 12
 #: Labelled rows that a fit may use; at least MIN_FIT for each language.
-FIT_ROWS = 2000
+FIT_ROWS = 800
 MIN_FIT = 20
 CLUSTERS = 3
 UNKNOWN = "und"
