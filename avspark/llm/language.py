@@ -64,7 +64,7 @@ def counts(text: str) -> np.ndarray | None:
         ends = min(_STEP, len(x))
         grams = [one[:ends], two[:ends], three[:ends]]
         for salt, g in enumerate(grams):
-            h = ((g ^ (g >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93 + 2 * salt)) >> np.uint64(64 - 13)
+            h = ((g ^ (g >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93 + 2 * salt)) >> np.uint64(65 - DIMENSIONS.bit_length())
             total += np.bincount(h.astype(np.int64), minlength=DIMENSIONS)
     return total
 
