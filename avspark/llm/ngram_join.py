@@ -130,19 +130,27 @@ class PartEnum:
         self._bands(self.low[band] + 1)
         return 2 * (self.low[band + 1] - 1) * (100 - self.percent) // (100 + self.percent)
 
-    def parts(self, band: int) -> tuple[int, int, int]:
-        """n1, n2 and k2."""
+    def parts(self, band: int) -> tuple[int, int, int, int]:
+        """n1, n2, k2, and how many empty projections a set may leave out.
+
+        With two smaller parts each, a signature is one of 2 * n1 cells, and at least
+        2 * n1 - k of them agree. Of a set with no more empty cells than 2 * n1 - k - 1, a cell
+        that is not empty agrees, so its empty ones, which would be alike for many sets, are
+        not needed. Sets with more empty cells find each other by those.
+        """
         k = self.most_different(band)
         if not k:
-            return 1, 1, 0
-        n1 = -(-(k + 1) // 2)
-        return n1, 3 if self.low[band] < _SMALL else 2, -(-(k + 1) // n1) - 1
+            return 1, 1, 0, 0
+        if self.low[band] < _SMALL:
+            return -(-(k + 1) // 2), 3, min(k, 1), 0
+        n1 = -(-(k + 1 + k // 6) // 2)
+        return n1, 2, 1, 2 * n1 - k - 1
 
     def signatures(self, feature: np.ndarray) -> np.ndarray:
         """All signatures of a set that is not empty, as int64."""
         out = []
         for band in self.bands(len(feature)):
-            n1, n2, k2 = self.parts(band)
+            n1, n2, k2, spare = self.parts(band)
             cell = (feature % _u(n1)).astype(np.int64) * n2 + (mix(feature, 11) % _u(n2)).astype(np.int64)
             sums = np.zeros(n1 * n2, np.uint64)
             np.add.at(sums, cell, mix(feature, 12))
@@ -151,7 +159,12 @@ class PartEnum:
             # k2 is 0 or 1: a choice of n2 - k2 smaller parts leaves out none or one of them.
             kept = total[:, None] - sums if k2 else total[:, None]
             name = np.arange(kept.size, dtype=np.uint64).reshape(kept.shape) + _u(band << 40)
-            out.append(mix(mix(kept, 13) + mix(name, 14)).ravel())
+            marks = mix(mix(kept, 13) + mix(name, 14)).ravel()
+            if spare:
+                empty = (np.bincount(cell, minlength=n1 * n2) == 0).reshape(n1, n2)[:, ::-1].ravel()
+                if empty.sum() <= spare:
+                    marks = marks[~empty]
+            out.append(marks)
         return np.concatenate(out).view(np.int64)
 
 
@@ -224,8 +237,9 @@ def sets_of(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
     return rows.mapInArrow(run, "id long, features array<long>")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough."""
+def verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """The stored pairs (a, b) whose sets are similar enough."""
+    sets = stored(sets_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), n), "sets")
     left = sets.select(F.col("id").alias("a"), F.col("features").alias("of_a"))
     right = sets.select(F.col("id").alias("b"), F.col("features").alias("of_b"))
     common_n = F.size(F.array_intersect("of_a", "of_b"))
@@ -257,10 +271,8 @@ def linked(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
              .join(sketch.select(F.col("id").alias("b"), F.col("bound").alias("of_b")), "b")
              .where(may_be_similar("of_a", "of_b", percent)).select("a", "b").distinct())
     pairs = stored(pairs, "pairs")
-    may_link = pairs.select(F.explode(F.array("a", "b")).alias("id")).union(members.select("id")).distinct()
-    sets = stored(sets_of(docs, may_link, n), "sets")
     tried = pairs
-    labels = stored(components(verified(pairs, sets, percent)), "components")
+    labels = stored(components(verified(pairs, docs, n, percent)), "components")
 
     turn, last = 0, False
     while True:
@@ -288,7 +300,7 @@ def linked(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
         tested = pairs.count()
         found = 0
         if tested:
-            right = verified(pairs.select("a", "b"), sets, percent)
+            right = verified(pairs.select("a", "b"), docs, n, percent)
             joined = stored(pairs.join(right, ["a", "b"]).select(F.col("at").alias("a"), F.col("to").alias("b")).distinct(), "joined")
             found = joined.count()
         if found:
