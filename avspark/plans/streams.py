@@ -22,7 +22,7 @@ _FIELDS = ("event_id, ts, icao24, callsign, origin_country, longitude, latitude,
 
 
 def _positions(spark, sf_dir):
-    return jobs.position_stream(jobs.event_stream(spark, sf_dir))
+    return jobs.position_stream(jobs.event_stream(spark, sf_dir, "events.parquet"))
 
 
 def _ntz(df, *columns):
@@ -59,7 +59,7 @@ def x2(spark, sf_dir):
     refused = 0
     for part in (events.where(~late), events.where(late)):
         part.write.mode("append").parquet(f"{path}/feed")
-        feed = jobs.event_stream(spark, f"{path}/feed", files_per_batch=10_000, glob="*.parquet")
+        feed = jobs.event_stream(spark, f"{path}/feed")
         run = sinks.run_to_table(
             jobs.hourly_counts(jobs.position_stream(feed)), f"{path}/table", f"{path}/checkpoint")
         refused += sinks.dropped_late_rows(run)
@@ -153,19 +153,23 @@ def _request_stream(events):
 
 @query("x8_stream_predictions")
 def x8_predictions(spark, sf_dir):
-    asked = _request_stream(jobs.event_stream(spark, sf_dir))
+    asked = _request_stream(jobs.event_stream(spark, sf_dir, "events.parquet"))
     scored = predict.predict_delays(
         asked, b.live_weather(spark, sf_dir), dims.airports(spark), _models(spark, sf_dir))
     return sinks.read_appended(spark, _run(spark, scored, "x8-predictions"))
 
 
-# The feed is one file, so one batch: every aircraft is fresh once, then the watermark
-# passes those whose last report is too old.
+# One row a report with the age of the position before it, one row each time a position expires,
+# at the end of the feed only where the watermark has passed that time.
 @query("x9_freshness", with_ctes("""
-    SELECT icao24, ts_ms, 0.0::DOUBLE AS age_s, 'FRESH' AS status FROM newest
-    UNION ALL SELECT icao24, ts_ms, 300.0::DOUBLE, 'EXPIRED' FROM newest
-    WHERE ts_ms + 300000 < (SELECT max(ts_ms) FROM newest) - 300000""",
-    "states", newest=f"SELECT icao24, max(epoch_us(ts)//1000) AS ts_ms FROM states WHERE {_BOX} GROUP BY icao24"))
+    SELECT icao24, ts_ms, coalesce((ts_ms - was) / 1000.0, 0.0)::DOUBLE AS age_s,
+      CASE WHEN was IS NULL OR ts_ms - was <= 60000 THEN 'FRESH' WHEN ts_ms - was <= 300000 THEN 'STALE' ELSE 'EXPIRED' END AS status
+    FROM gaps
+    UNION ALL SELECT icao24, was, 300.0::DOUBLE, 'EXPIRED' FROM gaps WHERE ts_ms - was > 300000
+    UNION ALL SELECT icao24, max(ts_ms), 300.0::DOUBLE, 'EXPIRED' FROM gaps GROUP BY icao24
+      HAVING max(ts_ms) + 300000 < (SELECT max(ts_ms) FROM gaps) - 300000""",
+    "states", gaps=f"""SELECT *, lag(ts_ms) OVER (PARTITION BY icao24 ORDER BY ts_ms) AS was
+      FROM (SELECT DISTINCT icao24, epoch_us(ts)//1000 AS ts_ms FROM states WHERE {_BOX})"""))
 def x9(spark, sf_dir):
     table = _run(spark, jobs.freshness(_positions(spark, sf_dir)), "x9")
     return sinks.read_appended(spark, table)
@@ -183,7 +187,7 @@ def x10(spark, sf_dir):
     events = b.table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
     # One landed file, and so one poll, a day.
     events.repartition("day").write.partitionBy("day").parquet(f"{path}/feed")
-    feed = jobs.event_stream(spark, f"{path}/feed", glob="*.parquet")
+    feed = jobs.event_stream(spark, f"{path}/feed", files_per_batch=1)
     sinks.run_snapshots(jobs.position_stream(feed), f"{path}/log", f"{path}/checkpoint")
     log = spark.read.parquet(f"{path}/log")
-    return snapshots.from_log(log.withColumn("fetched_at", F.col("fetched_at").cast("bigint")))
+    return snapshots.from_log(log.drop("batch_id").withColumn("fetched_at", F.col("fetched_at").cast("bigint")))

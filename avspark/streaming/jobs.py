@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,14 +23,17 @@ from avspark.sources.bindings import positions_from_events
 LATE = "5 minutes"
 
 
-def event_stream(spark: SparkSession, folder: str, files_per_batch: int = 1, glob: str = "events.parquet") -> DataFrame:
-    """Event files of a folder as they land."""
-    return (
-        pin_utc(spark).readStream.schema(schemas.TABLES["events"])
-        .option("maxFilesPerTrigger", files_per_batch).option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", "true")
-        .parquet(folder)
-    )
+def event_stream(spark: SparkSession, folder: str, table: str | None = None, files_per_batch: int | None = None) -> DataFrame:
+    """Event files as they land in ``folder``, or in the table of that name inside it.
+
+    A table may be one file or a folder of part files: the name is given as a pattern, which
+    streams accept for both. A batch takes all files there are unless the caller sets a limit.
+    """
+    source = f"{folder}/{table[:-1]}[{table[-1]}]" if table else folder
+    reader = pin_utc(spark).readStream.schema(schemas.TABLES["events"]).option("recursiveFileLookup", "true")
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(source)
 
 
 def position_stream(events: DataFrame) -> DataFrame:
@@ -121,51 +125,55 @@ def _age_status(age_s: float) -> str:
 def _track_freshness(
     key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
 ) -> Iterator[pd.DataFrame]:
-    """Per aircraft: how old the known position was when the next report came, or expired."""
-    def row(ts_ms: int, age_s: float, status: str) -> pd.DataFrame:
-        return pd.DataFrame({"icao24": [key[0]], "ts_ms": [ts_ms], "age_s": [age_s], "status": [status]})
-
-    known = state.get[0] if state.exists else None
+    """Per aircraft: how old the known position was at each report, and when it expired."""
+    def rows(found: list[tuple[int, float, str]]) -> pd.DataFrame:
+        ts_ms, age_s, status = zip(*found, strict=True) if found else ((), (), ())
+        return pd.DataFrame({"icao24": [key[0]] * len(found), "ts_ms": list(ts_ms), "age_s": list(age_s), "status": list(status)})
+
+    limit_ms = dims.CACHE_MAX_AGE_S * 1000
+    expiry = lambda at: (at, float(dims.CACHE_MAX_AGE_S), "EXPIRED")
+    known, expired = state.get if state.exists else (None, False)
     if state.hasTimedOut:
-        state.remove()
-        yield row(known, float(dims.CACHE_MAX_AGE_S), "EXPIRED")
+        state.update((known, True))
+        if not expired:
+            yield rows([expiry(known)])
         return
-    newest = known
-    for batch in batches:  # chunks of bounded size; only the newest time is kept
-        if len(batch):
-            top = int(batch["ts_ms"].max())
-            newest = top if newest is None else max(newest, top)
-    if newest is None:
-        return
-    age = 0.0 if known is None else (newest - known) / 1000.0
-    state.update((newest,))
-    expires = newest + dims.CACHE_MAX_AGE_S * 1000
-    state.setTimeoutTimestamp(max(expires, state.getCurrentWatermarkMs() + 1))
-    yield row(newest, age, _age_status(age))
-
-
-def _newest_per_chunk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Map-side reduction: one row per aircraft and Arrow chunk."""
-    for batch in batches:
-        yield batch.groupby("icao24", as_index=False)["ts_ms"].max()
+    # Eight bytes for each report that one aircraft sends within a batch.
+    times = np.unique(np.concatenate([np.empty(0, np.int64), *(batch["ts_ms"].to_numpy() for batch in batches)]))
+    found = []
+    for ts_ms in times.tolist():
+        if known is not None and ts_ms <= known:
+            continue
+        if known is not None and ts_ms - known > limit_ms and not expired:
+            found.append(expiry(known))
+        age_s = 0.0 if known is None else (ts_ms - known) / 1000.0
+        found.append((ts_ms, age_s, _age_status(age_s)))
+        known, expired = ts_ms, False
+    if found:
+        yield rows(found)
+    if known is not None:
+        state.update((known, expired))
+        if not expired:
+            state.setTimeoutTimestamp(max(known + limit_ms, state.getCurrentWatermarkMs() + 1))
 
 
 def freshness(states: DataFrame, late: str = LATE) -> DataFrame:
-    """Freshness transitions per aircraft, with expiry by event time.
+    """Freshness of every aircraft's known position at each of its reports, and its expiries.
 
-    Only the newest report time of an aircraft matters, so each task keeps just that
-    before the shuffle; a very chatty aircraft then sends a few rows, not its reports.
+    Each report gives (report time, age of the position known before, FRESH / STALE /
+    EXPIRED); each position that outlives the limit also gives one EXPIRED row at that age.
+    Reports are taken in event-time order, so the rows do not depend on how a feed is cut into
+    batches, as long as batches follow each other in time; a report older than the known one
+    changes nothing.
     """
-    reduced = states.select("icao24", F.unix_millis("ts").alias("ts_ms")).mapInPandas(
-        _newest_per_chunk, "icao24 string, ts_ms bigint"
-    )
+    timed = states.select("icao24", F.unix_millis("ts").alias("ts_ms"))
     return (
-        reduced.withColumn("ts", F.timestamp_millis("ts_ms")).withWatermark("ts", late)
+        timed.withColumn("ts", F.timestamp_millis("ts_ms")).withWatermark("ts", late)
         .groupBy("icao24")
         .applyInPandasWithState(
             _track_freshness,
             outputStructType="icao24 string, ts_ms bigint, age_s double, status string",
-            stateStructType="known_ms bigint",
+            stateStructType="known_ms bigint, expired boolean",
             outputMode="append",
             timeoutConf=GroupStateTimeout.EventTimeTimeout,
         )

@@ -58,21 +58,28 @@ def _file_system(spark: SparkSession, path: str):
 
 
 def drop_old_snapshots(spark: SparkSession, path: str, keep: int = dims.SNAPSHOTS_KEPT) -> None:
-    """Delete all but the ``keep`` newest ``fetched_at=`` folders."""
+    """Delete all but the ``keep`` newest snapshots (``fetched_at=`` / ``batch_id=`` folders)."""
     fs, root = _file_system(spark, path)
     folders = {}
-    for status in fs.listStatus(root):
-        name = status.getPath().getName()
+    for second in fs.listStatus(root):
+        name = second.getPath().getName()
         if name.startswith("fetched_at="):
-            folders[int(name.split("=")[1])] = status.getPath()
-    for fetched_at in sorted(folders, reverse=True)[keep:]:
-        fs.delete(folders[fetched_at], True)
+            for batch in fs.listStatus(second.getPath()):
+                number = batch.getPath().getName().split("=")
+                if number[0] == "batch_id":
+                    folders[int(name.split("=")[1]), int(number[1])] = batch.getPath()
+    for snapshot in sorted(folders, reverse=True)[keep:]:
+        fs.delete(folders[snapshot], True)
 
 
 def run_snapshots(
     states: DataFrame, path: str, checkpoint: str, keep: int = dims.SNAPSHOTS_KEPT
 ) -> StreamingQuery:
-    """Each micro-batch becomes one snapshot, stamped with its newest report time."""
+    """Each micro-batch becomes one snapshot, stamped with its newest report time and its batch.
+
+    The batch is part of the folder's name, so snapshots of one second stay apart, and a
+    replayed batch still overwrites its own.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
@@ -81,7 +88,7 @@ def run_snapshots(
             if newest is None:
                 return
             log = snapshots.to_log(batch, F.lit(newest)).drop("fetched_at")
-            log.write.mode("overwrite").parquet(f"{path}/fetched_at={newest}")
+            log.write.mode("overwrite").parquet(f"{path}/fetched_at={newest}/batch_id={batch_id}")
         finally:
             batch.unpersist()
         drop_old_snapshots(batch.sparkSession, path, keep)

@@ -19,7 +19,7 @@ def land(df, path):
 
 
 def feed(spark, path):
-    return jobs.event_stream(spark, path, glob="*.parquet")
+    return jobs.event_stream(spark, path, files_per_batch=1)
 
 
 @pytest.fixture(scope="module")
@@ -125,10 +125,32 @@ def test_freshness_transitions(spark):
     for reports in ([(ids[0], 0, 1)], [(ids[1], 1, 1)], [(ids[2], 5, 1)], [(ids[3], 11, 1)], [(ids[4], 60, 2)]):
         land(events(spark, reports), path)
     table, _ = run(spark, jobs.freshness(jobs.position_stream(feed(spark, path))))
-    got = sinks.read_appended(spark, table).where("icao24 = '000001'").orderBy("ts_ms", "status").collect()
+    got = sinks.read_appended(spark, table).where("icao24 = '000001'").orderBy("ts_ms", "status", "age_s").collect()
     minutes = [(r.ts_ms // 60_000 % 1440, r.age_s, r.status) for r in got]
-    assert minutes[:3] == [(0, 0.0, "FRESH"), (1, 60.0, "FRESH"), (5, 240.0, "STALE")]
-    assert (11, 300.0, "EXPIRED") in minutes        # timed out once the feed had moved on
+    assert minutes == [
+        (0, 0.0, "FRESH"), (1, 60.0, "FRESH"), (5, 300.0, "EXPIRED"), (5, 240.0, "STALE"),
+        (11, 300.0, "EXPIRED"), (11, 360.0, "EXPIRED")]
+
+
+def test_rows_do_not_depend_on_files_or_batches(spark, sf_dir, landed):
+    """One file, a folder of part files under the table's name, and several batches in time order."""
+    parts = new_path(spark, "parts")
+    bindings.table(spark, sf_dir, "events").repartition(8).write.parquet(f"{parts}/events.parquet")
+    whole = jobs.event_stream(spark, sf_dir, "events.parquet")
+    folder = jobs.event_stream(spark, parts, "events.parquet")
+    for job in (lambda s: s, jobs.freshness):
+        results = [rows(sinks.read_appended(spark, run(spark, job(jobs.position_stream(s)))[0]))
+                   for s in (whole, folder, feed(spark, landed))]
+        assert results[0] and results[0] == results[1] == results[2]
+
+
+def test_snapshots_of_one_second_stay_apart(spark):
+    a, b = in_box_ids(spark, 2)
+    path = new_path(spark, "second")
+    for report in ((a, 5, 1), (b, 5, 2)):
+        land(events(spark, [report]), f"{path}/feed")
+    sinks.run_snapshots(jobs.position_stream(feed(spark, f"{path}/feed")), f"{path}/log", f"{path}/c")
+    assert spark.read.parquet(f"{path}/log").count() == 2
 
 
 def test_snapshot_retention_on_disk(spark):
