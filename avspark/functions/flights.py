@@ -39,7 +39,7 @@ def _by_delay(minutes: Column, on_time, minor, severe) -> Column:
     return (
         F.when(minutes < dims.DELAY_THRESHOLD_MIN, F.lit(on_time))
         .when(minutes < dims.SEVERE_DELAY_MIN, F.lit(minor))
-        .otherwise(F.lit(severe))
+        .when(minutes.isNotNull(), F.lit(severe))
     )
 
 
@@ -111,7 +111,7 @@ def risk_label(probability: Column) -> Column:
     return (
         F.when(probability > 0.6, F.lit("HIGH"))
         .when(probability > 0.35, F.lit("MODERATE"))
-        .otherwise(F.lit("LOW"))
+        .when(probability.isNotNull(), F.lit("LOW"))
     )
 
 
@@ -119,7 +119,7 @@ def probability_colour(probability: Column) -> Column:
     return (
         F.when(probability < 0.30, F.lit(dims.GREEN))
         .when(probability < 0.60, F.lit(dims.YELLOW))
-        .otherwise(F.lit(dims.RED))
+        .when(probability.isNotNull(), F.lit(dims.RED))
     )
 
 

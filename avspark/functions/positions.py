@@ -32,7 +32,7 @@ def altitude_band(metres: Column) -> Column:
     return (
         F.when(metres < dims.LOW_ALTITUDE_M, F.lit("low"))
         .when(metres < dims.MID_ALTITUDE_M, F.lit("mid"))
-        .otherwise(F.lit("high"))
+        .when(metres.isNotNull(), F.lit("high"))
     )
 
 
@@ -42,5 +42,5 @@ def altitude_colour(metres: Column) -> Column:
     return (
         F.when(metres < dims.LOW_ALTITUDE_M, rgba["low"])
         .when(metres < dims.MID_ALTITUDE_M, rgba["mid"])
-        .otherwise(rgba["high"])
+        .when(metres.isNotNull(), rgba["high"])
     )

@@ -22,7 +22,7 @@ def conditions(visibility_sm: Column, ceiling_ft: Column) -> Column:
     return (
         F.when((visibility_sm >= 3) & (ceiling_ft >= 1000), F.lit("VMC"))
         .when((visibility_sm >= 1) & (ceiling_ft >= 500), F.lit("MVMC"))
-        .otherwise(F.lit("IMC"))
+        .when(visibility_sm.isNotNull() & ceiling_ft.isNotNull(), F.lit("IMC"))
     )
 
 
@@ -62,7 +62,7 @@ def marker_colour(condition: Column) -> Column:
     return (
         F.when(condition == "VMC", F.lit("green"))
         .when(condition == "MVMC", F.lit("orange"))
-        .otherwise(F.lit("red"))
+        .when(condition.isNotNull(), F.lit("red"))
     )
 
 

@@ -82,18 +82,14 @@ def known_airports_only(flights: DataFrame, airports: DataFrame) -> DataFrame:
 
 def used_airports(flights: DataFrame, airports: DataFrame) -> DataFrame:
     """Each airport that any route touches. Deduplicated map-side before the union."""
-    ends = (
-        flights.select(F.col("origin").alias("code"))
-        .union(flights.select("destination"))
-        .distinct()
-    )
+    ends = flights.select(F.explode(F.array("origin", "destination")).alias("code")).distinct()
     return ends.join(F.broadcast(airports.select("code", "lat", "lon")), "code")
 
 
 def airport_coverage(flights: DataFrame, required: DataFrame) -> DataFrame:
     """Required airports that no flight touches."""
-    present = flights.select(F.col("origin").alias("code")).union(flights.select("destination"))
-    return required.select("code").subtract(present)
+    present = flights.select(F.explode(F.array("origin", "destination")).alias("code")).distinct()
+    return required.select("code").distinct().join(present, "code", "left_anti")
 
 
 def on_day(flights: DataFrame, day: str) -> DataFrame:

@@ -24,7 +24,7 @@ def decode_states(responses: DataFrame, column: str = "response") -> DataFrame:
 
     Other columns of ``responses`` are kept. Slots: 0 address, 1 callsign, 2 country,
     5 longitude, 6 latitude, 7 barometric altitude, 8 on ground, 9 velocity, 10 track,
-    13 geometric altitude.
+    13 geometric altitude. A value that is no number counts as missing.
     """
     kept = [c for c in responses.columns if c != column]
     vectors = (
@@ -36,19 +36,19 @@ def decode_states(responses: DataFrame, column: str = "response") -> DataFrame:
         return F.get("s", F.lit(i))
 
     def number(i: int) -> Column:
-        return slot(i).cast("double")
+        return slot(i).try_cast("double")
 
     def text(i: int) -> Column:
         return F.coalesce(slot(i), F.lit(""))
 
-    return vectors.where(slot(5).isNotNull() & slot(6).isNotNull()).select(
+    return vectors.where(number(5).isNotNull() & number(6).isNotNull()).select(
         *kept, "fetched_at",
         text(0).alias("icao24"), F.trim(text(1)).alias("callsign"), text(2).alias("origin_country"),
         number(5).alias("longitude"), number(6).alias("latitude"),
         positions.best_altitude(number(13), number(7)).alias("altitude_m"),
         F.coalesce(number(9), F.lit(0.0)).alias("velocity_mps"),
         F.coalesce(number(10), F.lit(0.0)).alias("heading_deg"),
-        F.coalesce(slot(8).cast("boolean"), F.lit(False)).alias("on_ground"),
+        F.coalesce(slot(8).try_cast("boolean"), F.lit(False)).alias("on_ground"),
     )
 
 

@@ -50,8 +50,12 @@ def read_flights_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def append_missing(source: DataFrame, target_path: str, key: str) -> None:
-    """Add only rows whose key the target does not hold; running it twice adds nothing."""
+    """Add only rows whose key the target does not hold; running it twice adds nothing.
+
+    Rows without a key cannot be told apart and are not added; of rows that repeat a key, one is.
+    """
     spark = source.sparkSession
+    source = source.where(source[key].isNotNull()).dropDuplicates([key])
     try:
         present = spark.read.parquet(target_path).select(key)
         source = source.join(present, key, "left_anti")

@@ -173,3 +173,21 @@ def test_live_box_is_closed(spark):
     row = one(spark, low=geo.in_live_box(*lits(24, -125)), high=geo.in_live_box(*lits(50, -66)),
               out=geo.in_live_box(*lits(23.999, -100)))
     assert tuple(row) == (True, True, False)
+
+
+def test_missing_values_have_no_band(spark):
+    from avspark.functions import flights, positions, weather
+
+    row = spark.range(1).select(F.lit(None).cast("double").alias("x"), F.lit(None).cast("string").alias("s")).select(
+        flights.delay_band(F.col("x")), flights.delay_colour(F.col("x")), flights.delay_opacity(F.col("x")),
+        flights.risk_label(F.col("x")), flights.probability_colour(F.col("x")), positions.altitude_band(F.col("x")),
+        positions.altitude_colour(F.col("x")), weather.conditions(F.col("x"), F.lit(5000)), weather.marker_colour(F.col("s"))).first()
+    assert set(row) == {None}
+
+
+def test_malformed_numbers_count_as_missing(spark):
+    from avspark.sources import decode
+
+    text = '{"time": 5, "states": [["a", "b", "c", 1, 1, "10", "20", "oops", "x", "oops", null, 1, 1, "7"], ["d", "e", "f", 1, 1, "oops", "20", 1, false, 1, 1, 1, 1, 1]]}'
+    rows = decode.decode_states(spark.createDataFrame([(text,)], "response string")).collect()
+    assert [(r.icao24, r.altitude_m, r.velocity_mps, r.on_ground) for r in rows] == [("a", 7.0, 0.0, False)]
