@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from avspark.session import new_path
 
 #: Text handled at once inside a task; bounds its memory, never its result.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """Token ids of many texts: split at spaces, encode each different piece once, gather.
 
-Words repeat, so a task keeps the ids of the pieces it has met (up to MEMO_PIECES; then it
-starts afresh, which costs time only) and assembles documents with array operations. The
+Words repeat, so a worker keeps the ids of the pieces it has met (up to MEMO_PIECES; then those
+met only once go, which costs time only) and assembles documents with array operations. The
 splits are places that no pre-token of the vocabulary crosses, so the ids equal those of the
 whole text; texts whose white space would break that rule are encoded whole.
 """
@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-MEMO_PIECES = 700_000
+MEMO_PIECES = 350_000
 
 #: White space that is special to a pattern with look-ahead: a space after white space, and
 #: characters that some libraries count as white space and others do not.
@@ -45,6 +45,18 @@ class Pieces:
         self.ids = np.empty(1 << 16, np.uint32)
         self.start = np.zeros(1 << 14, np.int64)
         self.used = 0
+        self.again = np.zeros(MEMO_PIECES + 1, bool)  # met more than once
+
+    def _keep_repeated(self) -> None:
+        kept = [(k, s) for k, s in self.slot.items() if self.again[s]]
+        old = np.fromiter((s for _, s in kept), np.int64, len(kept))
+        ids, start = self.ids, self.start
+        self._forget()
+        lengths = start[old + 1] - start[old]
+        self.ids = np.append(ragged(ids, start[old], lengths), np.empty(1 << 16, np.uint32))
+        self.start = np.concatenate([[0], np.cumsum(lengths), np.zeros(1 << 14, np.int64)])
+        self.used = int(lengths.sum())
+        self.slot = {k: i for i, (k, _) in enumerate(kept)}
 
     def _add(self, keys: list[str]) -> None:
         for at in range(0, len(keys), 50_000):
@@ -66,11 +78,18 @@ class Pieces:
         """The memo slot of each of these different keys."""
         missing = [k for k in keys if k not in self.slot]
         if len(self.slot) + len(missing) > MEMO_PIECES:
-            self._forget()
-            missing = keys
+            self._keep_repeated()
+            if len(self.slot) + len(keys) > MEMO_PIECES:
+                self._forget()
+            missing = [k for k in keys if k not in self.slot]
+        before = len(self.slot)
+        if before + len(missing) > len(self.again):  # one slice with more than the memo holds
+            self.again = np.zeros(before + len(missing), bool)
         if missing:
             self._add(missing)
-        return np.fromiter(map(self.slot.__getitem__, keys), np.int64, len(keys))
+        slots = np.fromiter(map(self.slot.__getitem__, keys), np.int64, len(keys))
+        self.again[slots[slots < before]] = True
+        return slots
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order (uint32), and the number of ids of each text."""

@@ -48,6 +48,23 @@ def test_merge_equals_library_also_on_very_long_pieces(tik):
         assert coder.encode(text) == tik.encode_ordinary(text)
 
 
+def test_a_small_memo_gives_the_same_ids(monkeypatch, plain):
+    import pyarrow as pa
+
+    from avspark.llm import pieces
+
+    texts = pa.array(list(plain.values()))
+    path = public_tokenizers.path("word_bpe_49k.json")
+    want = pieces.library_pieces(path, False)(texts)
+    for limit in (10, 9000, 30000):
+        monkeypatch.setattr(pieces, "MEMO_PIECES", limit)
+        monkeypatch.setattr(pieces, "_cached", {})
+        encode = pieces.library_pieces(path, False)
+        got = [encode(texts.slice(i, 7)) for i in range(0, len(texts), 7)]
+        assert (np.concatenate([g[0] for g in got]) == want[0]).all()
+        assert (np.concatenate([g[1] for g in got]) == want[1]).all()
+
+
 def test_op7(spark, sf_dir, plain, tik, odd_docs, no_docs):
     sha = lambda b: hashlib.sha256(b).hexdigest()
     rows = queries.op7_bpe_round_trip(spark, sf_dir).collect()
