@@ -37,6 +37,8 @@ from avspark.llm.components import components
 
 SKETCH_BITS = 512
 _SKETCH = [f"s{i}" for i in range(SKETCH_BITS // 64)]
+#: The same, longer, made only for sets of pairs: long sets differ in more bits than the other has.
+WIDE_BITS = 4096
 _SMALL = 64
 _SLICE = 2 << 20
 
@@ -107,6 +109,12 @@ def features(text: pa.Array, n: int) -> list[np.ndarray]:
     return out
 
 
+def parity(feature: np.ndarray, bits: int) -> np.ndarray:
+    """The parity sketch of a set, as int64 words."""
+    odd = np.bincount((mix(feature, 31) % _u(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64)
+
+
 class PartEnum:
     """Signatures for Jaccard similarity of at least ``percent`` / 100."""
 
@@ -143,7 +151,7 @@ class PartEnum:
             return 1, 1, 0, 0
         if self.low[band] < _SMALL:
             return -(-(k + 1) // 2), 3, min(k, 1), 0
-        n1 = -(-(k + 1 + k // 6) // 2)
+        n1 = -(-(k + 1 + k // 12) // 2)
         return n1, 2, 1, 2 * n1 - k - 1
 
     def signatures(self, feature: np.ndarray) -> np.ndarray:
@@ -178,8 +186,7 @@ def signed(docs: DataFrame, n: int, percent: int) -> DataFrame:
             total = lambda salt: pa.array(np.array([mix(s, salt).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64))
             marks = [method.signatures(s) if len(s) else np.empty(0, np.int64) for s in sets]
             cuts = np.concatenate([[0], np.cumsum([len(m) for m in marks])]).astype(np.int32)
-            odd = [np.bincount((mix(s, 31) % _u(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS) & 1 for s in sets]
-            sketch = np.packbits(np.stack(odd).astype(bool), axis=1).view(np.int64)
+            sketch = np.stack([parity(s, SKETCH_BITS) for s in sets])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), total(21), total(22),
                  *(pa.array(np.ascontiguousarray(column)) for column in sketch.T),
@@ -214,7 +221,7 @@ def _filter_of(ids: DataFrame) -> np.ndarray:
 
 
 def sets_of(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
-    """(id, features) for ids (column id), read from the texts again.
+    """(id, size, wide, features) for ids (column id), read from the texts again.
 
     A bit set of fixed size spares most other texts the work; some of them come through,
     more when there are many ids, and find no partner in the joins that follow.
@@ -229,17 +236,28 @@ def sets_of(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
             for part in slices(iter([chosen]), size=_SLICE):
                 sets = features(part.column("text"), n)
                 cuts = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
+                wide = np.concatenate([parity(s, WIDE_BITS) for s in sets])
+                each = np.arange(0, len(wide) + 1, WIDE_BITS // 64, dtype=np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.concatenate(sets).view(np.int64)))],
-                    ["id", "features"])
+                    [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
+                     pa.ListArray.from_arrays(pa.array(each), pa.array(wide)),
+                     pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.concatenate(sets).view(np.int64)))],
+                    ["id", "size", "wide", "features"])
 
     rows = texts(docs).where("doc_id is not null").withColumn("bit", F.pmod(F.xxhash64("doc_id"), F.lit(_FILTER_WORDS * 63)))
-    return rows.mapInArrow(run, "id long, features array<long>")
+    return rows.mapInArrow(run, "id long, size long, wide array<long>, features array<long>")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
     """The stored pairs (a, b) whose sets are similar enough."""
     sets = stored(sets_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), n), "sets")
+    small = lambda k: sets.select(F.col("id").alias(k), F.struct("size", "wide").alias(f"of_{k}"))
+    differ = F.aggregate(F.zip_with("of_a.wide", "of_b.wide", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+                         F.lit(0), lambda total, x: total + x)
+    both = F.col("of_a.size") + F.col("of_b.size")
+    pairs = stored(
+        pairs.join(small("a"), "a").join(small("b"), "b")
+        .where(differ * (100 + percent) <= both * (100 - percent)).select("a", "b").distinct(), "likely-pairs")
     left = sets.select(F.col("id").alias("a"), F.col("features").alias("of_a"))
     right = sets.select(F.col("id").alias("b"), F.col("features").alias("of_b"))
     common_n = F.size(F.array_intersect("of_a", "of_b"))
