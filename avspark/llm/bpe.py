@@ -9,50 +9,55 @@ pre-token of n bytes takes O(n log n) however long it is.
 from __future__ import annotations
 
 import base64
-import heapq
+from heapq import heappop, heappush
+from itertools import islice
 
 import numpy as np
 
-_LOW = 256
+#: Pre-tokens whose ids a worker remembers; then the older half goes, which costs time only.
+MEMO_TOKENS = 300_000
+_MEMO_LENGTH = 64
 
 
 class RankQueue:
-    """Positions by rank; lowest rank first, then lowest position."""
+    """Positions by rank; lowest rank first, then lowest position.
 
-    def __init__(self):
-        self.top, self.low, self.bucket = 0, {}, {}
+    It is empty between pre-tokens, so that one queue serves them all.
+    """
+
+    def __init__(self, ranks: int = 1 << 16):
+        self.bucket: list[list[int]] = [[] for _ in range(ranks)]
+        self.low = [0] * (ranks // 256 + 1)
+        self.top = 0
 
     def push(self, rank: int, position: int) -> None:
-        held = self.bucket.get(rank)
-        if held is not None:
-            heapq.heappush(held, position)
+        held = self.bucket[rank]
+        if held:
+            heappush(held, position)
             return
-        self.bucket[rank] = [position]
-        block = rank // _LOW
-        self.low[block] = self.low.get(block, 0) | 1 << rank % _LOW
+        held.append(position)
+        block = rank >> 8
+        self.low[block] |= 1 << (rank & 255)
         self.top |= 1 << block
 
     def pop(self) -> tuple[int, int] | None:
-        if not self.top:
+        top = self.top
+        if not top:
             return None
-        block = (self.top & -self.top).bit_length() - 1
+        block = (top & -top).bit_length() - 1
         bits = self.low[block]
-        rank = block * _LOW + (bits & -bits).bit_length() - 1
+        rank = block << 8 | (bits & -bits).bit_length() - 1
         held = self.bucket[rank]
-        position = heapq.heappop(held)
+        position = heappop(held)
         if not held:
-            del self.bucket[rank]
-            bits &= bits - 1
-            if bits:
-                self.low[block] = bits
-            else:
-                del self.low[block]
-                self.top &= self.top - 1
+            self.low[block] = bits = bits & bits - 1
+            if not bits:
+                self.top = top & top - 1
         return rank, position
 
 
-def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """The ids of one pre-token."""
+def merge(piece: bytes, ranks: dict[bytes, int], queue: RankQueue) -> list[int]:
+    """The ids of one pre-token: the lowest rank first, of equal ranks the first position."""
     whole = ranks.get(piece)
     if whole is not None:
         return [whole]
@@ -60,33 +65,26 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     end = list(range(1, n + 1))  # where the part that begins here ends
     before = list(range(-1, n - 1))  # where the part before it begins
     rank_at: list[int | None] = [None] * n  # rank of this part joined with the next
-    queue = RankQueue()
-    for i in range(n - 1):
-        rank = ranks.get(piece[i : i + 2])
-        if rank is not None:
-            rank_at[i] = rank
-            queue.push(rank, i)
-    while (found := queue.pop()) is not None:
-        rank, i = found
-        if rank_at[i] != rank:
-            continue  # stale
+    push, pop = queue.push, queue.pop
+    changed = range(n - 1)
+    while True:
+        for i in changed:
+            j = end[i]
+            rank_at[i] = rank = ranks.get(piece[i : end[j]]) if j < n else None
+            if rank is not None:
+                push(rank, i)
+        while (found := pop()) is not None:
+            rank, i = found
+            if rank_at[i] == rank:  # otherwise stale
+                break
+        else:
+            break
         j = end[i]
         end[i] = k = end[j]
         rank_at[j] = None
         if k < n:
             before[k] = i
-            rank = ranks.get(piece[i : end[k]])
-        else:
-            rank = None
-        rank_at[i] = rank
-        if rank is not None:
-            queue.push(rank, i)
-        h = before[i]
-        if h >= 0:
-            rank = ranks.get(piece[h:k])
-            rank_at[h] = rank
-            if rank is not None:
-                queue.push(rank, h)
+        changed = (before[i], i) if i else (i,)
     ids, i = [], 0
     while i < n:
         ids.append(ranks[piece[i : end[i]]])
@@ -103,6 +101,8 @@ class ByteBpe:
         with open(path, "rb") as file:
             self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in file)}
         self.find = regex.compile(pattern).findall
+        self.queue = RankQueue(max(self.ranks.values()) + 1)
+        self.memo: dict[str, list[int]] = {}
         words = {rank: word for word, rank in self.ranks.items()}
         sizes = np.zeros(max(words) + 2, np.int64)
         for rank, word in words.items():
@@ -112,9 +112,17 @@ class ByteBpe:
 
     def encode(self, text: str) -> list[int]:
         ids: list[int] = []
+        memo = self.memo
         for token in self.find(text):
-            piece = token.encode()
-            ids += merge(piece, self.ranks)
+            found = memo.get(token)
+            if found is None:
+                found = merge(token.encode(), self.ranks, self.queue)
+                if len(token) <= _MEMO_LENGTH:
+                    if len(memo) >= MEMO_TOKENS:
+                        for old in list(islice(memo, MEMO_TOKENS // 2)):
+                            del memo[old]
+                    memo[token] = found
+            ids += found
         return ids
 
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
