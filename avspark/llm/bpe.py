@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import base64
 from heapq import heappop, heappush
-from itertools import islice
+from itertools import islice, pairwise
 
 import numpy as np
 
@@ -126,7 +126,13 @@ class ByteBpe:
         return ids
 
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(self.encode(t), np.uint32) for t in texts]
+        ids: list[int] = []
+        cuts = [0]
+        for text in texts:
+            ids += self.encode(text)
+            cuts.append(len(ids))
+        every = np.array(ids, np.uint32)
+        return [every[a:b] for a, b in pairwise(cuts)]
 
     def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Bytes of all ids, and the number of bytes of each id."""
