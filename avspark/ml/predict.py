@@ -8,28 +8,38 @@ from pyspark.sql import functions as F
 from avspark.functions import flights as ff
 from avspark.functions import geo
 from avspark.functions.numeric import round_dp
+from avspark.functions.weather import RISK_DEFAULTS
+from avspark.ml.features import DEFAULT_WEATHER_SCORE
 from avspark.ml.model import DelayModels, score
 from avspark.operators import quality, weather
 from avspark.operators.lookups import with_route_airports
 
 
-def valid_requests(requests: DataFrame) -> DataFrame:
-    """Requests whose route, time, airline and aircraft pass validation, with the parsed time."""
-    needed = ["origin_format", "origin_unknown", "destination_format", "destination_unknown",
-              "departure_format", "departure_value", "airline", "aircraft_type"]
+_NEEDED = ["origin_format", "origin_unknown", "destination_format", "destination_unknown",
+           "departure_format", "departure_value", "airline", "aircraft_type"]
+
+
+def checked_requests(requests: DataFrame) -> DataFrame:
+    """Every request with ``errors``: the failed rules of route, time, airline and aircraft."""
     checked = quality.validate_requests(requests)
-    ok = checked.where(~F.arrays_overlap("errors", F.array(*[F.lit(e) for e in needed])))
+    return checked.withColumn("errors", F.filter("errors", lambda e: e.isin(_NEEDED)))
+
+
+def valid_requests(requests: DataFrame) -> DataFrame:
+    """Requests without such errors, with the parsed time."""
+    ok = checked_requests(requests).where(F.size("errors") == 0)
     return ok.withColumn("departure", quality.parsed_time(F.col("scheduled_departure")))
 
 
 def request_features(requests: DataFrame, live: DataFrame, airports: DataFrame) -> DataFrame:
     """Model inputs of valid requests, from the newest weather at both ends.
 
+    An end without a weather record has the default score, as in training.
     The origin score is the origin's own risk; the larger of both risks is kept apart as
     ``max_risk_score``, which the blend uses.
     """
     placed = with_route_airports(requests.drop("dep_hour", "day_of_week", "distance_mi"), airports)
-    seen = weather.route_weather(placed, live, airports)
+    seen = weather.route_weather(placed, live, airports, DEFAULT_WEATHER_SCORE)
     hour = F.hour("departure")
     return (
         seen.withColumn("dep_hour", hour)
@@ -50,12 +60,12 @@ def blend(scored: DataFrame, probability: str | None) -> DataFrame:
     p = F.col(probability) if probability else F.lit(None).cast("double")
     r = F.col("max_risk_score")
     final = ff.blended_probability(p, r)
-    w = F.col("origin_weather")
+    seen = lambda field: F.coalesce(F.col("origin_weather")[field], F.lit(RISK_DEFAULTS[field]))
     return scored.select(
         "request_id", "origin", "destination", final.alias("blended_probability"),
         ff.expected_delay(final).alias("expected_delay_minutes"), r.alias("weather_risk_score"),
         ff.risk_label(final).alias("risk_label"), ff.confidence(p).alias("confidence"),
-        ff.weather_summary(w["wind_speed_knots"], w["visibility_km"], w["precipitation_mm_hr"], r)
+        ff.weather_summary(seen("wind_speed_knots"), seen("visibility_km"), seen("precipitation_mm_hr"), r)
         .alias("weather_summary"),
         ff.explanation(p, r, final).alias("explanation"),
     )
@@ -64,7 +74,9 @@ def blend(scored: DataFrame, probability: str | None) -> DataFrame:
 def predict_delays(
     requests: DataFrame, live: DataFrame, airports: DataFrame, models: DelayModels | None
 ) -> DataFrame:
+    """One row per request: the prediction, or the ``errors`` (comma-joined) that prevent it."""
     features = request_features(valid_requests(requests), live, airports)
-    if models is None:
-        return blend(features, None)
-    return blend(score(features, models), "delay_probability")
+    answered = blend(features, None) if models is None else blend(score(features, models), "delay_probability")
+    rejected = checked_requests(requests).where(F.size("errors") > 0).select(
+        "request_id", "origin", "destination", F.concat_ws(",", "errors").alias("errors"))
+    return answered.withColumn("errors", F.lit("")).unionByName(rejected, allowMissingColumns=True)

@@ -162,10 +162,14 @@ def latest_live(live: DataFrame, airports: DataFrame) -> DataFrame:
     return risk.select("airport", "weather", "risk_score")
 
 
-def route_weather(routes: DataFrame, live: DataFrame, airports: DataFrame) -> DataFrame:
+def route_weather(
+    routes: DataFrame, live: DataFrame, airports: DataFrame, default_risk: float | None = None
+) -> DataFrame:
     """Both end points' newest weather and the larger of their risks.
 
-    The newest-weather table has one row per known airport, so it is broadcast.
+    Routes with an end that has no record are dropped, or kept with ``default_risk`` for that
+    end if it is given. The newest-weather table has one row per known airport, so it is
+    broadcast.
     """
     newest = latest_live(live, airports)
     for role in ("origin", "destination"):
@@ -173,7 +177,9 @@ def route_weather(routes: DataFrame, live: DataFrame, airports: DataFrame) -> Da
             F.col("airport").alias(role), F.col("weather").alias(f"{role}_weather"),
             F.col("risk_score").alias(f"{role}_risk"),
         )
-        routes = routes.join(F.broadcast(side), role)
+        routes = routes.join(F.broadcast(side), role, "inner" if default_risk is None else "left")
+        if default_risk is not None:
+            routes = routes.na.fill(default_risk, [f"{role}_risk"])
     return routes.withColumn("max_risk_score", F.greatest("origin_risk", "destination_risk"))
 
 

@@ -116,11 +116,20 @@ def m8(spark, sf_dir):
       'Origin: wind '||{fixed('wind_speed_knots', 0)}||' kn, vis '||{fixed('visibility_km', 1)}||' km, precip '
         ||{fixed('precipitation_mm_hr', 1)}||' mm/h. Route max risk: '||{fixed('r', 2)}||'.' AS weather_summary,
       'ML model unavailable — delay probability driven entirely by live weather risk score '||{fixed('r', 2)}||'.'
-        AS explanation
-    FROM (SELECT v.*, greatest(o.risk_score, d.risk_score) AS r, o.wind_speed_knots, o.visibility_km,
-            o.precipitation_mm_hr
-          FROM ({VALIDATED}) v JOIN latest_live o ON o.airport=v.origin JOIN latest_live d ON d.airport=v.destination
-          WHERE NOT regexp_matches(errors, 'origin|destination|departure|airline|aircraft')) v""",
+        AS explanation, '' AS errors
+    FROM (SELECT v.request_id, v.origin, v.destination,
+            greatest(coalesce(o.risk_score, 0.3::DOUBLE), coalesce(d.risk_score, 0.3::DOUBLE)) AS r,
+            coalesce(o.wind_speed_knots, 0.0::DOUBLE) AS wind_speed_knots,
+            coalesce(o.visibility_km, 16.0::DOUBLE) AS visibility_km,
+            coalesce(o.precipitation_mm_hr, 0.0::DOUBLE) AS precipitation_mm_hr
+          FROM ({VALIDATED}) v LEFT JOIN latest_live o ON o.airport=v.origin
+          LEFT JOIN latest_live d ON d.airport=v.destination
+          WHERE NOT regexp_matches(errors, 'origin|destination|departure|airline|aircraft')) v
+    UNION ALL
+    SELECT request_id, origin, destination, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+      array_to_string(list_filter(string_split(errors, ','),
+        lambda e: regexp_matches(e, 'origin|destination|departure|airline|aircraft')), ',')
+    FROM ({VALIDATED}) WHERE regexp_matches(errors, 'origin|destination|departure|airline|aircraft')""",
     "ops", "latest_live", requests=REQUESTS))
 def m8_fallback(spark, sf_dir):
     return predict.predict_delays(

@@ -1,5 +1,6 @@
 """Features, forests and scoring: invariants and the interval against the trees themselves."""
 
+import datetime
 import json
 
 import numpy as np
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from avspark import dims
 from avspark.ml import features as ft
 from avspark.ml import model as md
+from avspark.ml import predict
 from avspark.session import new_path
 from avspark.sources import bindings
 
@@ -109,3 +111,22 @@ def test_unknown_aircraft_scores(features, models):
     odd = features.limit(5).withColumn("aircraft_type", F.lit("Concorde")).withColumn(
         "aircraft_type_encoded", F.lit(0))
     assert md.score(odd, models).count() == 5
+
+
+def test_every_request_is_answered(spark):
+    """A known airport without a weather record has defaults; bad requests carry their errors."""
+    columns = ("request_id long, origin string, destination string, scheduled_departure string, airline string, "
+               "aircraft_type string, dep_hour int, day_of_week int, distance_mi double, row_limit int")
+    ok = ("2024-03-01T08:30:00", dims.AIRLINES[0], dims.AIRCRAFT_TYPES[0], 8, 4, None, 10)
+    requests = spark.createDataFrame([(1, "ATL", "LAX", *ok), (2, "ANC", "LAX", *ok), (3, "ZZZ", "LAX", *ok), (4, None, "L1", *ok)], columns)
+    live = spark.createDataFrame(
+        [(i, a, datetime.datetime(2024, 3, 1, 8), 10.0, 30.0, 1.0, 5.0, 50.0, 61) for i, a in enumerate(("ATL", "LAX"))],
+        "event_id long, airport string, ts timestamp_ntz, temperature_c double, wind_speed_knots double, "
+        "precipitation_mm_hr double, visibility_km double, cloud_cover_pct double, weather_code int")
+    found = {r.request_id: r for r in predict.predict_delays(requests, live, dims.airports(spark), None).collect()}
+    assert sorted(found) == [1, 2, 3, 4]
+    assert found[1].errors == found[2].errors == ""
+    assert found[2].weather_risk_score == max(ft.DEFAULT_WEATHER_SCORE, found[1].weather_risk_score)
+    assert "wind 0 kn" in found[2].weather_summary
+    assert found[3].errors == "origin_unknown" and found[3].blended_probability is None
+    assert "destination_format" in found[4].errors
