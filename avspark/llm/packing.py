@@ -88,13 +88,15 @@ def pack(lengths: list[int], limit: int) -> list[list[int]]:
 
 
 def pieces_of(docs: DataFrame, path: str, length: int = LENGTH, end_id: int = END_ID,
-              with_ids: bool = False) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32, row (tells repeated rows apart); with_ids: ids."""
+              with_ids: bool = False, special_as_text: bool = True) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32, row (tells repeated rows apart); with_ids: ids.
+    ``special_as_text=False``: a special token's string inside a text gives the token's id, as
+    the library does by default."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from avspark.llm.pieces import library_pieces
 
-        encode = library_pieces(path, keeps_space=False)
+        encode = library_pieces(path, False, special_as_text)
         row = 0
         for batch in slices(batches):
             ids, counts = encode(batch.column("text"))
@@ -145,8 +147,8 @@ def packed(pieces: DataFrame, length: int = LENGTH, group_pieces: int = GROUP_PI
 
 
 def packed_documents(docs: DataFrame, path: str, length: int = LENGTH, end_id: int = END_ID,
-                     with_ids: bool = False) -> DataFrame:
-    return packed(stored(pieces_of(docs, path, length, end_id, with_ids), "pieces"), length)
+                     with_ids: bool = False, special_as_text: bool = True) -> DataFrame:
+    return packed(stored(pieces_of(docs, path, length, end_id, with_ids, special_as_text), "pieces"), length)
 
 
 def sequences(packed_ids: DataFrame) -> DataFrame:

@@ -58,7 +58,7 @@ def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder, table = shards.write(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+    folder, table = shards.write(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), special_as_text=False)
     return shards.read(spark, folder, table)
 
 
@@ -127,7 +127,7 @@ FROM rows WINDOW same AS (PARTITION BY text)
 
 
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.packed_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+    return packing.packed_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), special_as_text=False)
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

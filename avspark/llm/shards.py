@@ -168,9 +168,11 @@ class ShardReader:
         return None if row < 0 else self.ids(*self.index.place[row : row + 2].tolist())
 
 
-def write(docs: DataFrame, tokenizer: str, end_id: int = 0, folder: str | None = None) -> tuple[str, DataFrame]:
+def write(docs: DataFrame, tokenizer: str, end_id: int = 0, folder: str | None = None,
+          special_as_text: bool = True) -> tuple[str, DataFrame]:
     """Writes the shards; the folder, and the table of shards: name, first_id, n_docs, n_tokens,
-    part (order of shards: by part, then number), number."""
+    part (order of shards: by part, then number), number. ``special_as_text=False``: a special
+    token's string inside a text gives the token's id, as the library does by default."""
     spark = docs.sparkSession
     folder = folder or new_path(spark, "shards")
     files, root = _open(folder)
@@ -181,7 +183,7 @@ def write(docs: DataFrame, tokenizer: str, end_id: int = 0, folder: str | None =
 
         from avspark.llm.pieces import library_pieces
 
-        encode = library_pieces(tokenizer, keeps_space=True)
+        encode = library_pieces(tokenizer, True, special_as_text)
         width = 2 if Tokenizer.from_file(tokenizer).get_vocab_size() <= 1 << 16 and end_id < 1 << 16 else 4
         files, root = _open(folder)
         files.create_dir(root)
