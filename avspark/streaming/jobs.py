@@ -106,7 +106,8 @@ def sliding_sector_load(
 
 
 def flight_legs(states: DataFrame, gap: str = "30 minutes", late: str = LATE) -> DataFrame:
-    """Sessions of airborne reports per aircraft, split by ground reports' absence or a gap."""
+    """Sessions of airborne reports per aircraft, split by a gap alone: a report on the ground
+    does not end a leg, and a leg comes out once the watermark has passed its end."""
     return (
         states.where("NOT on_ground").withWatermark("ts", late)
         .groupBy("icao24", F.session_window("ts", gap).alias("w"))

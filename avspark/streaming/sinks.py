@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from threading import Event
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -18,17 +20,31 @@ def run_to_table(
     A batch that is replayed after a lost executor or driver overwrites its own folder,
     so the table holds each batch exactly once.
     """
+    started, running, dropped = Event(), [], {}
+
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        # The progress of the batch before this one, which recentProgress may soon forget.
+        started.wait(60)
+        if running and (last := running[0].lastProgress):
+            _add_dropped(dropped, last)
 
     query = (
         stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
         .foreachBatch(write).trigger(availableNow=True).start()
     )
+    running.append(query)
+    started.set()
     query.awaitTermination()
+    query.dropped_by_batch = dropped
     return query
 
 
+def _add_dropped(dropped: dict[int, int], progress) -> None:
+    n = sum(int(op["numRowsDroppedByWatermark"]) for op in progress["stateOperators"])
+    dropped[progress["batchId"]] = max(n, dropped.get(progress["batchId"], 0))
+
+
 def read_appended(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop("batch_id")
 
@@ -41,14 +57,15 @@ def read_updated(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
 
 
 def dropped_late_rows(query: StreamingQuery) -> int:
-    """Rows that stateful operators refused as too late, over a query's whole run.
+    """Rows that stateful operators refused as too late, over the whole run of ``run_to_table``.
 
-    Aggregations count pre-aggregated groups, so this is a lower bound of input rows.
+    Aggregations count pre-aggregated groups, so this is a lower bound of input rows. Of a query
+    started otherwise, only the batches in ``recentProgress`` are known.
     """
-    return sum(
-        int(op["numRowsDroppedByWatermark"])
-        for progress in query.recentProgress for op in progress["stateOperators"]
-    )
+    dropped = dict(getattr(query, "dropped_by_batch", {}))
+    for progress in query.recentProgress:
+        _add_dropped(dropped, progress)
+    return sum(dropped.values())
 
 
 def _file_system(spark: SparkSession, path: str):
