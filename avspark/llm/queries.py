@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from avspark.llm import bpe_job, exact_dedup, fingerprints, language, licenses, line_dedup, ngram_join, packing, pii, shards
+from avspark.llm import (
+    bpe_job, collocations, exact_dedup, fingerprints, language, licenses, line_dedup, ngram_join, packing, pii, shards, spelling, topk)
 from avspark.llm.common import documents
 
 
@@ -138,9 +139,105 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out().alias("held_out"), "lang_pred", F.col("lang_score").alias("score"), F.col("lang_rejected").alias("rejected"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.words(documents(spark, sf_dir), drop_every=199))
+
+
+# crc32 byte by byte; its table of 256 entries comes from the polynomial.
+OP11_SQL = r"""
+WITH RECURSIVE crc(i, k, c) AS (
+  SELECT i, 0, i FROM range(256) t(i)
+  UNION ALL SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM crc WHERE k < 8
+), steps AS (SELECT list(c ORDER BY i) AS t FROM crc WHERE k = 8),
+runs AS MATERIALIZED (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents)
+  WHERE length(run) >= 6 GROUP BY ALL
+), hashed AS (
+  SELECT run, n, xor(4294967295, list_reduce(list_transform(range(1, octet_length(b) + 1), lambda i: ('0x' || substr(x, 2 * i - 1, 2))::BIGINT),
+      lambda h, byte: xor(h >> 8, t[xor(h & 255, byte) + 1]), 4294967295)) AS h
+  FROM (SELECT *, encode(coalesce(doc_id::VARCHAR, '') || ':' || run) AS b, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS x FROM runs), steps
+), vocabulary AS MATERIALIZED (
+  SELECT word, sum(n)::BIGINT AS n FROM (
+    SELECT CASE WHEN h % 199 = 0 THEN run[:(h % length(run))::INT] || run[(h % length(run))::INT + 2:] ELSE run END AS word, n FROM hashed)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+), skips AS MATERIALIZED (
+  SELECT word, n, i, word[:i] || word[i + 2:] AS rest FROM (SELECT *, unnest(range(length(word))) AS i FROM vocabulary)
+), near AS MATERIALIZED (
+  SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM skips a JOIN skips b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT s.word, s.n, v.word, v.n FROM skips s JOIN vocabulary v ON s.rest = v.word
+  UNION SELECT v.word, v.n, s.word, s.n FROM skips s JOIN vocabulary v ON s.rest = v.word
+), formed AS MATERIALIZED (
+  SELECT v.word, v.n, coalesce(c.n_near, 0) AS n_near, CASE WHEN o.other_n >= 5 * v.n THEN o.other END AS form,
+    CASE WHEN o.other_n >= 5 * v.n THEN o.other_n END AS form_n
+  FROM vocabulary v LEFT JOIN (SELECT word, count(*) AS n_near FROM near GROUP BY word) c USING (word)
+  LEFT JOIN (SELECT word, other, other_n FROM near
+    QUALIFY row_number() OVER (PARTITION BY word ORDER BY other_n DESC, other) = 1) o USING (word)
+), chain(word, root, form) AS (
+  SELECT word, word, form FROM formed
+  UNION ALL SELECT c.word, f.word, f.form FROM chain c JOIN formed f ON c.form = f.word
+)
+SELECT f.word, f.n, f.n_near, f.form, f.form_n, c.root FROM formed f JOIN chain c ON c.word = f.word AND c.form IS NULL
+"""
+
+
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir))
+
+
+OP12_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS w FROM (
+    SELECT lang, unnest(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)
+), grams AS (
+  SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase
+  FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM pieces, range(1, 6) t(m))
+), phrases AS MATERIALIZED (SELECT lang, m, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 100),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang),
+candidates AS MATERIALIZED (SELECT lang, m, phrase, string_split(phrase, ' ') AS w, f AS a FROM phrases WHERE m > 1),
+cuts AS (
+  SELECT c.lang, c.phrase, c.a, t.n, k, x.f AS l, y.f AS r,
+    ((1000::HUGEINT * c.a * t.n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM candidates) c
+  JOIN phrases x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[:k], ' ')
+  JOIN phrases y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k + 1:], ' ')
+  JOIN totals t ON t.lang = c.lang
+), weakest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+parts AS (
+  SELECT lang, array_to_string(w[i:i + s - 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT *, unnest(range(1, m - s + 2)) AS i FROM candidates, range(2, 5) t(s) WHERE s < m) GROUP BY ALL
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n, score
+FROM weakest LEFT JOIN parts USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 100 * a
+QUALIFY rank <= 2000
+"""
+
+
+def op13_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return topk.top_k(vectors, F.col("vec_id") % 100 == 0).withColumnRenamed("id", "vec_id")
+
+
+OP13_SQL = """
+WITH vectors AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
+  SELECT q.vec_id AS query_id, d.vec_id, list_dot_product(q.v, d.v)::BIGINT AS score,
+    row_number() OVER (PARTITION BY q.vec_id ORDER BY list_dot_product(q.v, d.v) DESC, d.vec_id) AS rank
+  FROM vectors q JOIN vectors d ON q.vec_id <> d.vec_id WHERE q.vec_id % 100 = 0)
+WHERE rank <= 10
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_line_dedup, op2_document_fingerprints, op3_token_shards, op4_pii_spans, op5_license_scan, op6_ngram_jaccard_join, op7_bpe_round_trip, op8_exact_dedup,
-        op9_best_fit_packing, op10_language_id)
+        op9_best_fit_packing, op10_language_id, op11_spelling_variants, op12_phrase_collocations, op13_exact_top_k)
 }
-ORACLE: dict[str, str] = {"op1_line_dedup": OP1_SQL, "op6_ngram_jaccard_join": OP6_SQL, "op8_exact_dedup": OP8_SQL}
+ORACLE: dict[str, str] = {
+    "op1_line_dedup": OP1_SQL, "op6_ngram_jaccard_join": OP6_SQL, "op8_exact_dedup": OP8_SQL, "op11_spelling_variants": OP11_SQL,
+    "op12_phrase_collocations": OP12_SQL, "op13_exact_top_k": OP13_SQL}
