@@ -8,25 +8,25 @@ words before that boundary: a phrase of up to WINDOW + 1 words lies inside the c
 first word, and is counted there, once.
 
 1. *Parse*: distinct chunks form a dictionary with their frequencies.
-2. *Count*: phrases of 1, 2, ... words are counted inside distinct chunks, weighted. A phrase that
-   stands ``least`` times has two parts, all but its last and all but its first word, that do so too:
-   each length counts only phrases whose parts pass a bit filter of the length before. The filter
-   lets some others pass, never loses one; it grows with the phrases up to :data:`FILTER_BITS`, beyond
-   which it only passes more. Counts are of the phrases themselves, so they are exact.
+2. *Count*: words, then pairs, then longer phrases are counted inside distinct chunks, weighted. The
+   words of a pair that stands ``least`` times do so too, and so do all pairs in a longer phrase: what
+   is counted must pass a bit filter of the step before. The filter lets some others pass, never
+   loses one; it grows with the phrases up to :data:`FILTER_BITS`, beyond which it only passes more.
+   Hashes choose triggers and filter bits only: counts are of the phrases themselves, so they are exact.
 3. *Score*: cuts are looked up, phrases that a longer one accounts for are dropped, each language's
    first ``top`` stay. Products are decimals of 38 digits.
 """
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from avspark.llm.common import slices, stored
@@ -35,24 +35,24 @@ WINDOW, TRIGGER = 4, 16
 MAX_WORDS = WINDOW + 1
 #: The filter: bits for each phrase, and the most bits there can be (8 MB).
 BITS_A_PHRASE, FILTER_BITS = 16, 1 << 26
-#: Entries of a task's tables before they are sent on or forgotten; bounds memory, not results.
-_HELD = 400_000
+#: Text laid out at once (16 times as many bytes), and phrases in a task's counter before they are
+#: sent on; both bound memory, not results.
+_SLICE, _HELD = 1 << 20, 500_000
 _LOWER_AND_CUT = bytes.maketrans(
     b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" b".,;:!?\x0a\x0b\x0c\x0d\t", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * 10 + b" ")
-_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+_AROUND_CUT, _SPACES = re.compile(rb" *\n[ \n]*"), re.compile(rb"  +")
+_FACTOR, _BASE = np.uint64(0x9E3779B97F4A7C15), 0x5851F42D4C957F2D
+_powers: dict[str, np.ndarray] = {}
 
 
-class _Hashes(dict):
-    """64-bit hash of each word met, of one language."""
-
-    def __init__(self, lang: str):
-        self.seed = zlib.crc32(lang.encode())
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _HELD:
-            self.clear()
-        self[word] = found = xxhash.xxh64_intdigest(word, self.seed)
-        return found
+def _powers_to(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, modulo 2^64."""
+    if len(_powers.get("up", ())) < size:
+        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
+            steps = np.full(max(size, _SLICE), base, np.uint64)
+            steps[0] = 1
+            _powers[name] = np.cumprod(steps)
+    return _powers["up"][:size], _powers["down"][:size]
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -60,57 +60,77 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def _phrase_hashes(words: np.ndarray, n: int) -> np.ndarray:
+class _Layout:
+    """Where the words of ``data`` begin and end; one space or line feed stands between words."""
+
+    def __init__(self, data: bytes):
+        text = np.frombuffer(data, np.uint8)
+        cut = np.flatnonzero((text == 32) | (text == 10))
+        self.data = data
+        self.starts, self.ends = np.concatenate([[0], cut + 1]), np.concatenate([cut, [len(text)]])
+        ends_line = text[cut] == 10
+        self.line = np.concatenate([[0], np.cumsum(ends_line)])
+        self.line_starts = np.concatenate([[0], np.flatnonzero(ends_line) + 1])
+
+    def __len__(self) -> int:
+        return len(self.starts)
+
+    def hashes(self) -> np.ndarray:
+        """A hash of each word, from differences of one running polynomial."""
+        text = np.frombuffer(self.data, np.uint8)
+        up, down = _powers_to(len(text) + 1)
+        sums = np.zeros(len(text) + 1, np.uint64)
+        np.cumsum((text.astype(np.uint64) + np.uint64(1)) * up[:-1], out=sums[1:])
+        return _mixed((sums[self.ends] - sums[self.starts]) * down[self.starts])
+
+    def whole(self, n: int) -> np.ndarray:
+        """At which places n words of one line stand."""
+        last = max(0, len(self) - n + 1)
+        return self.line[:last] == self.line[n - 1 : n - 1 + last]
+
+    def phrases(self, places: np.ndarray, n: int) -> list[bytes]:
+        data = self.data
+        return [data[b:e] for b, e in zip(self.starts[places].tolist(), self.ends[places + n - 1].tolist(), strict=True)]
+
+
+def _phrase_hashes(words: np.ndarray, n: int, lang: str) -> np.ndarray:
     """Hash of the n words from each place on at which n words stand."""
-    found = np.zeros(max(0, len(words) - n + 1), np.uint64)
+    found = np.full(max(0, len(words) - n + 1), zlib.crc32(lang.encode()), np.uint64)
     for i in range(n):
         found = found * _FACTOR + words[i : i + len(found)]
     return _mixed(found)
 
 
-def _words(piece: bytes) -> list[bytes]:
-    return [w for w in piece.split(b" ") if w]
+def _chunks(texts: list[bytes], lang: str) -> tuple[list[bytes], np.ndarray]:
+    """The chunks of all pieces of the texts, and how many of its words each owns."""
+    data = b"\n".join(texts).translate(_LOWER_AND_CUT)
+    data = _SPACES.sub(b" ", _AROUND_CUT.sub(b"\n", data)).strip(b" \n")
+    if not data:
+        return [], np.empty(0, np.int64)
+    at = _Layout(data)
+    triggers = np.flatnonzero((_phrase_hashes(at.hashes(), WINDOW, lang) % np.uint64(TRIGGER) == 0) & at.whole(WINDOW))
+    begins = np.union1d(at.line_starts, triggers)
+    nexts = np.append(begins[1:], len(at))
+    line_ends = np.append(at.line_starts[1:], len(at))[at.line[begins]]
+    # A chunk that another of its line follows reaches over the whole window of that one's trigger.
+    lasts = np.where(nexts < line_ends, nexts + WINDOW, line_ends) - 1
+    return [data[b:e] for b, e in zip(at.starts[begins].tolist(), at.ends[lasts].tolist(), strict=True)], nexts - begins
 
 
-def _boundaries(words: list[bytes], hashes: _Hashes) -> list[int]:
-    """Places of triggers, but for the first word, which begins a chunk anyway."""
-    if len(words) <= WINDOW:
-        return []
-    windows = _phrase_hashes(np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words)), WINDOW)
-    return (np.flatnonzero(windows[1:] % np.uint64(TRIGGER) == 0) + 1).tolist()
+def _by_language(batch: pa.RecordBatch) -> Iterator[tuple[str, np.ndarray]]:
+    langs = batch.column("lang").dictionary_encode()
+    codes = langs.indices.to_numpy()
+    for code, lang in enumerate(langs.dictionary.to_pylist()):
+        yield lang, np.flatnonzero(codes == code)
 
 
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes: dict[str, _Hashes] = {}
-    held: Counter = Counter()
-
-    def sent():
-        lang, chunk, owned = zip(*held, strict=True)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(lang, pa.string()), pa.array(chunk, pa.binary()).cast(pa.string()), pa.array(owned, pa.int32()), pa.array(held.values(), pa.int64())],
-            names=["lang", "chunk", "owned", "n"])
-
-    for batch in slices(batches):
-        pieces: dict[str, Counter] = {}
-        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
-            pieces.setdefault(lang, Counter()).update(text.translate(_LOWER_AND_CUT).split(b"\n"))
-        for lang, counted in pieces.items():
-            of_lang = hashes.setdefault(lang, _Hashes(lang))
-            for piece, n in counted.items():
-                words = _words(piece)
-                begin = 0
-                for end in _boundaries(words, of_lang):
-                    held[lang, b" ".join(words[begin : end + WINDOW]), end - begin] += n
-                    begin = end
-                if words:
-                    held[lang, b" ".join(words[begin:]), len(words) - begin] += n
-        if len(hashes) > 64:  # a column of very many languages must not fill the memory
-            hashes.clear()
-        if len(held) >= _HELD // 4:
-            yield sent()
-            held.clear()
-    if held:
-        yield sent()
+    for batch in slices(batches, size=_SLICE):
+        for lang, rows in _by_language(batch):
+            chunks, owned = _chunks(batch.column("text").take(pa.array(rows)).to_pylist(), lang)
+            yield pa.RecordBatch.from_arrays(
+                [pa.repeat(lang, len(chunks)), pa.array(chunks, pa.binary()).cast(pa.string()), pa.array(owned, pa.int32())],
+                names=["lang", "chunk", "owned"])
 
 
 def dictionary(docs: DataFrame) -> DataFrame:
@@ -121,14 +141,14 @@ def dictionary(docs: DataFrame) -> DataFrame:
     rows = docs.select(
         F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"))
-    parsed = rows.mapInArrow(_parsed, "lang string, chunk string, owned int, n long")
-    return parsed.groupBy("lang", "chunk", "owned").agg(F.sum("n").alias("n"))
+    parsed = rows.mapInArrow(_parsed, "lang string, chunk string, owned int")
+    return parsed.groupBy("lang", "chunk", "owned").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _places(hashes: np.ndarray, bits: int) -> np.ndarray:
+def _places(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """The two bits of each hash."""
     mask = np.uint64(bits - 1)
-    return np.concatenate([hashes & mask, (hashes >> np.uint64(32)) & mask]).astype(np.int64)
+    return (hashes & mask).astype(np.int64), ((hashes >> np.uint64(32)) & mask).astype(np.int64)
 
 
 def _filter_of(phrases: DataFrame, n: int) -> np.ndarray:
@@ -140,17 +160,12 @@ def _filter_of(phrases: DataFrame, n: int) -> np.ndarray:
 
     def set_bits(batches):
         mine = np.zeros(bits // 8, np.uint8)
-        for batch in batches:
-            whole = []
-            for lang, phrase in zip(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist(), strict=True):
-                seed = zlib.crc32(lang.encode())
-                whole.append([xxhash.xxh64_intdigest(w, seed) for w in phrase.encode().split(b" ")])
-            words = np.array(whole, np.uint64)
-            found = np.zeros(len(words), np.uint64)
-            for i in range(n):
-                found = found * _FACTOR + words[:, i]
-            at = _places(_mixed(found), bits)
-            np.bitwise_or.at(mine, at >> 3, np.left_shift(1, at & 7).astype(np.uint8))
+        for batch in slices(batches, "phrase", _SLICE):
+            for lang, rows in _by_language(batch):
+                at = _Layout("\n".join(batch.column("phrase").take(pa.array(rows)).to_pylist()).encode())
+                hashes = _phrase_hashes(at.hashes(), n, lang)[at.line_starts]
+                for places in _places(hashes, bits):
+                    np.bitwise_or.at(mine, places >> 3, np.left_shift(1, places & 7).astype(np.uint8))
         eights = mine.view(np.int64)
         used = np.flatnonzero(eights)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(eights[used])], names=["place", "bits"])
@@ -162,91 +177,70 @@ def _filter_of(phrases: DataFrame, n: int) -> np.ndarray:
     return out.view(np.uint8)
 
 
-def _counter(n: int, passing) -> object:
-    """Counts phrases of n words inside chunks; ``passing`` is the broadcast filter of n - 1 words."""
+def _passing(hashes: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    one, two = ((bits[p >> 3] >> (p & 7).astype(np.uint8)) & 1 for p in _places(hashes, len(bits) * 8))
+    return (one & two).astype(bool)
+
+
+def _counter(sizes: range, passing):
+    """Counts phrases of ``sizes`` words in chunks; ``passing`` is the broadcast filter of the parts
+    of ``sizes.start - 1`` words that each must consist of."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, Counter] = {}
-        hashes: dict[str, _Hashes] = {}
         bits = None if passing is None else passing.value
 
         def sent():
-            langs = [lang for lang, c in held.items() for _ in range(len(c))]
-            phrases = [p for c in held.values() for p in c]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(langs, pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()),
-                 pa.array([f for c in held.values() for f in c.values()], pa.int64())], names=["lang", "phrase", "f"])
-
-        def add(lang: str, chunks: list[str], owned: np.ndarray, weight: np.ndarray) -> None:
-            counts = held.setdefault(lang, Counter())
-            # An empty word between chunks keeps phrases from running over their ends.
-            words = "  ".join(chunks).encode().split(b" ")
-            is_word = np.fromiter(map(len, words), np.int64, len(words)) > 0
-            chunk_of = np.cumsum(~is_word)
-            begins = np.concatenate([[0], np.flatnonzero(~is_word) + 1])
-            mine = is_word & (np.arange(len(words)) - begins[chunk_of] < owned[chunk_of])
-            if n == 1:
-                at = np.flatnonzero(mine)
-            else:
-                of_lang = hashes.setdefault(lang, _Hashes(lang))
-                h = np.fromiter(map(of_lang.__getitem__, words), np.uint64, len(words))
-                places = _places(_phrase_hashes(h, n - 1), len(bits) * 8)
-                passed = ((bits[places >> 3] >> (places & 7).astype(np.uint8)) & 1).astype(bool).reshape(2, -1).all(0)
-                last = len(words) - n + 1
-                if last <= 0:
-                    return
-                whole = np.ones(last, bool)
-                for i in range(n):
-                    whole &= is_word[i : i + last]
-                at = np.flatnonzero(whole & mine[:last] & passed[:last] & passed[1 : last + 1])
-            weights = weight[chunk_of[at]].tolist()
-            if n == 1:
-                for i, f in zip(at.tolist(), weights, strict=True):
-                    counts[words[i]] += f
-            else:
-                for i, f in zip(at.tolist(), weights, strict=True):
-                    counts[b" ".join(words[i : i + n])] += f
-
-        for batch in slices(batches, "chunk"):
-            langs = np.array(batch.column("lang").to_pylist(), object)
-            chunks = np.array(batch.column("chunk").to_pylist(), object)
-            owned, weight = batch.column("owned").to_numpy(), batch.column("n").to_numpy()
-            for lang in set(langs.tolist()):
-                of = np.flatnonzero(langs == lang)
-                add(lang, chunks[of].tolist(), owned[of], weight[of])
+            for lang, counts in held.items():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.repeat(lang, len(counts)), pa.array(counts.keys(), pa.binary()).cast(pa.string()), pa.array(counts.values(), pa.int64())],
+                    names=["lang", "phrase", "f"])
+            held.clear()
+
+        for batch in slices(batches, "chunk", _SLICE):
+            for lang, rows in _by_language(batch):
+                some = batch.take(pa.array(rows))
+                at = _Layout(b"\n".join(some.column("chunk").to_pylist()))
+                owned, weight = some.column("owned").to_numpy(), some.column("n").to_numpy()
+                good = np.arange(len(at)) - at.line_starts[at.line] < owned[at.line]
+                parts = None if bits is None else _passing(_phrase_hashes(at.hashes(), sizes.start - 1, lang), bits)
+                counts = held.setdefault(lang, Counter())
+                for n in range(1 if parts is None else sizes.start - 1, sizes.stop):
+                    # From one size to the next, one more part has to pass.
+                    whole = at.whole(n)
+                    good = good[: len(whole)] & whole
+                    if parts is not None:
+                        last = n - sizes.start + 1
+                        good &= parts[last : last + len(good)]
+                    if n in sizes:
+                        places = np.flatnonzero(good)
+                        for phrase, f in zip(at.phrases(places, n), weight[at.line[places]].tolist(), strict=True):
+                            counts[phrase] += f
             if sum(map(len, held.values())) >= _HELD:
-                yield sent()
-                held.clear()
-            if len(hashes) > 64:
-                hashes.clear()
-        if any(held.values()):
-            yield sent()
+                yield from sent()
+        yield from sent()
 
     return count
 
 
 def frequent_phrases(chunks: DataFrame, least: int = 100) -> DataFrame:
     """(lang, phrase, words, f): phrases of 1 to MAX_WORDS words that stand ``least`` times or more."""
+    rows = chunks.withColumn("chunk", F.col("chunk").cast("binary"))
     levels, passing = [], None
-    for n in range(1, MAX_WORDS + 1):
-        counted = chunks.mapInArrow(_counter(n, passing), "lang string, phrase string, f long").groupBy("lang", "phrase").agg(
+    for sizes in (range(1, 2), range(2, 3), range(3, MAX_WORDS + 1)):
+        counted = rows.mapInArrow(_counter(sizes, passing), "lang string, phrase string, f long").groupBy("lang", "phrase").agg(
             F.sum("f").alias("f")).where(F.col("f") >= least)
-        level = stored(counted.withColumn("words", F.lit(n)), f"phrases-{n}")
+        level = stored(counted.withColumn("words", F.size(F.split("phrase", " "))), "phrases")
         levels.append(level)
-        if n < MAX_WORDS:
-            if level.isEmpty():
-                break
-            passing = chunks.sparkSession.sparkContext.broadcast(_filter_of(level, n))
+        if sizes.stop > MAX_WORDS or level.isEmpty():
+            break
+        passing = chunks.sparkSession.sparkContext.broadcast(_filter_of(level, sizes.start))
     found = levels[0]
     for level in levels[1:]:
         found = found.unionByName(level)
     return found.select("lang", "phrase", "words", "f")
 
 
-def _big(column: str, digits: int = 19) -> Column:
-    return F.col(column).cast(f"decimal({digits},0)")
-
-
 def collocations(docs: DataFrame, least: int = 100, top: int = 2000) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score) of each language's ``top`` best phrases of 2 to 5 words.
 
