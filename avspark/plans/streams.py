@@ -11,7 +11,7 @@ from avspark.operators import weather
 from avspark.plans.ctes import haversine, rnd, sector, with_ctes
 from avspark.plans.learning import _models
 from avspark.plans.registry import query
-from avspark.session import new_path
+from avspark.session import new_path, state_session
 from avspark.sources import bindings as b
 from avspark.sources import snapshots
 from avspark.streaming import jobs, sinks
@@ -44,27 +44,27 @@ def x1(spark, sf_dir):
 
 
 # On-time reports arrive first, every 50th report only after all the others.
-_CLOSED = "(SELECT date_trunc('millisecond', max(ts)) - INTERVAL 5 MINUTE FROM inbox WHERE event_id%50<>0)"
+_MARK = "(SELECT date_trunc('millisecond', max(ts)) - INTERVAL 5 MINUTE FROM inbox WHERE event_id%50<>0)"
+_LAST_MARK = "(SELECT date_trunc('millisecond', max(ts)) - INTERVAL 5 MINUTE FROM inbox)"
 
 
 @query("x2_late_rows", with_ctes(f"""
-    SELECT hour_start, CAST(count(*) AS BIGINT) AS reports, true AS late_rows_refused
-    FROM (SELECT *, date_trunc('hour', ts) AS hour_start FROM inbox) WHERE event_id%50 <> 0
-    GROUP BY hour_start HAVING hour_start + INTERVAL 1 HOUR <= {_CLOSED}""",
+    SELECT hour_start, CAST(count(*) AS BIGINT) AS reports, hour_start + INTERVAL 1 HOUR > {_LAST_MARK} AS is_open,
+      CAST((SELECT count(*) FROM inbox WHERE event_id%50=0 AND date_trunc('hour', ts) + INTERVAL 1 HOUR <= {_MARK}) AS BIGINT)
+        AS late_rows_refused
+    FROM (SELECT *, date_trunc('hour', ts) AS hour_start FROM inbox)
+    WHERE event_id%50 <> 0 OR hour_start + INTERVAL 1 HOUR > {_MARK} GROUP BY hour_start""",
     "states", inbox=f"SELECT * FROM states WHERE {_BOX}"))
 def x2(spark, sf_dir):
     path = new_path(spark, "x2")
     events = b.table(spark, sf_dir, "events")
     late = F.col("event_id") % 50 == 0
-    refused = 0
     for part in (events.where(~late), events.where(late)):
         part.write.mode("append").parquet(f"{path}/feed")
         feed = jobs.event_stream(spark, f"{path}/feed")
-        run = sinks.run_to_table(
-            jobs.hourly_counts(jobs.position_stream(feed)), f"{path}/table", f"{path}/checkpoint")
-        refused += sinks.dropped_late_rows(run)
-    table = sinks.read_appended(spark, f"{path}/table")
-    return _ntz(table, "hour_start").withColumn("late_rows_refused", F.lit(refused > 0))
+        sinks.run_to_table(
+            jobs.hourly_counts(jobs.position_stream(feed)), f"{path}/table", f"{path}/checkpoint", "update")
+    return _ntz(sinks.read_hourly_counts(spark, f"{path}/table"), "hour_start")
 
 
 @query("x3_without_repeats", with_ctes(
@@ -106,20 +106,27 @@ def x6(spark, sf_dir):
     return _ntz(sinks.read_updated(spark, table, ["window_start", "sector_id"]), "window_start")
 
 
+# Reports that open a leg are those in the air after a report on the ground, after a gap, or first.
+# The report behind the last one of a leg says how it ends.
 @query("x7_flight_legs", with_ctes(f"""
-    SELECT icao24, min(ts) AS leg_start, max(ts) + INTERVAL 30 MINUTE AS leg_end,
-      CAST(count(*) AS BIGINT) AS reports, max(altitude_m) AS top_altitude_m
-    FROM (SELECT *, sum(fresh) OVER (PARTITION BY icao24 ORDER BY ts, event_id) AS leg FROM (
-      SELECT *, CASE WHEN ts < lag(ts) OVER (PARTITION BY icao24 ORDER BY ts, event_id) + INTERVAL 30 MINUTE
-                THEN 0 ELSE 1 END AS fresh
-      FROM states WHERE {_BOX} AND NOT on_ground))
-    GROUP BY icao24, leg
-    HAVING max(ts) + INTERVAL 30 MINUTE <= (
-      SELECT date_trunc('millisecond', max(ts)) - INTERVAL 5 MINUTE FROM states WHERE {_BOX} AND NOT on_ground)""",
-    "states"))
+    SELECT icao24, leg_start, leg_end, reports, top_altitude_m, ended_by,
+      NOT epoch_ms(leg_end) < (SELECT epoch_ms(max(ts)) - 300000 FROM inbox) AS is_open
+    FROM (
+      SELECT icao24, min(ts) AS leg_start, CAST(count(*) AS BIGINT) AS reports, max(altitude_m) AS top_altitude_m,
+        max_by(CASE WHEN next_ts < ts + INTERVAL 30 MINUTE THEN next_ts ELSE ts + INTERVAL 30 MINUTE END, (ts, event_id)) AS leg_end,
+        max_by(CASE WHEN next_ts < ts + INTERVAL 30 MINUTE THEN 'ground' ELSE 'gap' END, (ts, event_id)) AS ended_by
+      FROM (SELECT *, sum(opens) OVER (PARTITION BY icao24 ORDER BY ts, event_id) AS leg FROM (
+        SELECT *, lead(ts) OVER (PARTITION BY icao24 ORDER BY ts, event_id) AS next_ts,
+          CASE WHEN on_ground THEN 0 WHEN lag(on_ground) OVER (PARTITION BY icao24 ORDER BY ts, event_id) THEN 1
+               WHEN ts < lag(ts) OVER (PARTITION BY icao24 ORDER BY ts, event_id) + INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS opens
+        FROM inbox))
+      WHERE NOT on_ground GROUP BY icao24, leg)""",
+    "states", inbox=f"SELECT * FROM states WHERE {_BOX}"))
 def x7(spark, sf_dir):
-    table = _run(spark, jobs.flight_legs(_positions(spark, sf_dir)), "x7")
-    return _ntz(sinks.read_appended(spark, table), "leg_start", "leg_end")
+    path = new_path(spark, "x7")
+    legs = jobs.flight_legs(_positions(state_session(spark), sf_dir))
+    sinks.run_to_table(legs, f"{path}/table", f"{path}/checkpoint", "update")
+    return _ntz(sinks.read_legs(spark, f"{path}/table"), "leg_start", "leg_end")
 
 
 @query("x8_airport_risk", with_ctes(f"""
@@ -189,5 +196,4 @@ def x10(spark, sf_dir):
     events.repartition("day").write.partitionBy("day").parquet(f"{path}/feed")
     feed = jobs.event_stream(spark, f"{path}/feed", files_per_batch=1)
     sinks.run_snapshots(jobs.position_stream(feed), f"{path}/log", f"{path}/checkpoint")
-    log = spark.read.parquet(f"{path}/log")
-    return snapshots.from_log(log.drop("batch_id").withColumn("fetched_at", F.col("fetched_at").cast("bigint")))
+    return snapshots.from_log(snapshots.read_log(spark, f"{path}/log"))

@@ -53,6 +53,18 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def state_session(spark: SparkSession) -> SparkSession:
+    """A session beside the caller's, whose streams keep their state in RocksDB.
+
+    Timers and list states need that store; the caller's own settings stay as they are.
+    """
+    own = pin_utc(spark.newSession())
+    own.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    return own
+
+
 def work_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 

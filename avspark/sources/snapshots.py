@@ -3,15 +3,21 @@
 The log holds one JSON row per aircraft and snapshot rather than one JSON array per
 snapshot: a snapshot of any size is then written and read in parallel, never gathered
 into a single value.
+
+On disk, a log is a few data folders and a manifest (:mod:`avspark.sources.manifest`) that names the
+complete snapshots in them. Readers go by the manifest alone, so a snapshot that is being written, or
+whose writer died, is not seen. Retention is part of publishing: a snapshot that is no longer named is
+gone, and its folder is written over by a later one. Batch jobs and streams share this.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from avspark import dims, schemas
 from avspark.functions import positions
+from avspark.sources import manifest
 
 _STATE_COLUMNS = [f.name for f in schemas.AIRCRAFT_STATE.fields]
 
@@ -33,8 +39,59 @@ def from_log(log: DataFrame) -> DataFrame:
     ).select("fetched_at", "s.*")
 
 
-def append_snapshot(states: DataFrame, fetched_at: Column, path: str) -> None:
-    to_log(states, fetched_at).write.mode("append").parquet(path)
+_LOG = "fetched_at bigint, payload string"
+
+
+def _free_folder(found: list[tuple[int, dict]]) -> int:
+    """A folder that neither the newest version names nor the one before, which may still be read."""
+    named = {e["folder"] for _, content in found[:2] for e in content["snapshots"]}
+    return min(set(range(len(named) + 1)) - named)
+
+
+def publish(log: DataFrame, path: str, keep: int = dims.SNAPSHOTS_KEPT, batch_id: int | None = None) -> bool:
+    """Adds the snapshots of ``log`` (fetched_at, payload) to those under ``path`` and keeps the ``keep``
+    newest of all. Says whether anything was published.
+
+    Only snapshots that stay are written, in parallel; the driver learns ``keep`` times at most.
+    Snapshots of one second that come by different calls stay apart. A stream gives its ``batch_id``:
+    a batch that is published already is left alone, so that replays do not count twice. A writer
+    that dies before the end has published nothing, and the next one uses its folder again. There
+    are never more than 2 x ``keep`` + 1 folders.
+    """
+    spark = log.sparkSession
+    found = manifest.versions(spark, path)
+    old = found[0][1] if found else {"snapshots": [], "number": 0, "batch_id": None}
+    if batch_id is not None and old["batch_id"] is not None and batch_id <= old["batch_id"]:
+        return False
+    folder, number = _free_folder(found), old["number"] + 1
+    times = log.select("fetched_at").distinct().orderBy(F.desc("fetched_at")).limit(keep).collect()
+    new = [{"fetched_at": r["fetched_at"], "number": number, "folder": folder} for r in times]
+    kept = sorted([*old["snapshots"], *new], key=lambda e: (-e["fetched_at"], -e["number"]))[:keep]
+    fresh = [e["fetched_at"] for e in kept if e["number"] == number]
+    if fresh:
+        log.where(F.col("fetched_at").isin(fresh)).write.mode("overwrite").parquet(f"{path}/data/{folder}")
+    last = old["batch_id"] if batch_id is None else batch_id
+    manifest.publish(spark, path, {"snapshots": kept, "number": number, "batch_id": last})
+    return bool(fresh)
+
+
+def append_snapshot(states: DataFrame, fetched_at: Column, path: str, keep: int = dims.SNAPSHOTS_KEPT) -> bool:
+    """Publishes states as snapshots of their ``fetched_at``."""
+    return publish(to_log(states, fetched_at), path, keep)
+
+
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    """(fetched_at, payload, number) of the snapshots that the newest manifest names; ``number`` tells
+    snapshots of one second apart. An unpublished log is empty."""
+    content = manifest.current(spark, path) or {"snapshots": []}
+    folders: dict[tuple[int, int], list[int]] = {}
+    for e in content["snapshots"]:
+        folders.setdefault((e["folder"], e["number"]), []).append(e["fetched_at"])
+    log = spark.createDataFrame([], f"{_LOG}, number bigint")
+    for (folder, number), times in folders.items():
+        rows = spark.read.schema(_LOG).parquet(f"{path}/data/{folder}").where(F.col("fetched_at").isin(times))
+        log = log.unionByName(rows.withColumn("number", F.lit(number).cast("bigint")))
+    return log
 
 
 def keep_newest(log: DataFrame, n: int = dims.SNAPSHOTS_KEPT) -> DataFrame:

@@ -19,6 +19,7 @@ from avspark import dims, schemas
 from avspark.functions import geo, positions
 from avspark.session import pin_utc
 from avspark.sources.bindings import positions_from_events
+from avspark.streaming import legs
 
 LATE = "5 minutes"
 
@@ -65,9 +66,12 @@ def latest_state(states: DataFrame) -> DataFrame:
 
 
 def hourly_counts(states: DataFrame, late: str = LATE) -> DataFrame:
-    """Reports per hour; rows whose hour has closed are refused and counted as late."""
+    """Reports per hour. Rows whose hour has closed are refused; all rows that come in are counted
+    by the observed metric ``feed``, so that the refused ones can be told exactly
+    (``sinks.read_hourly_counts``)."""
     return (
-        states.withWatermark("ts", late).groupBy(F.window("ts", "1 hour").alias("w"))
+        states.observe("feed", F.count(F.lit(1)).alias("rows"))
+        .withWatermark("ts", late).groupBy(F.window("ts", "1 hour").alias("w"))
         .agg(F.count(F.lit(1)).alias("reports"))
         .select(F.col("w.start").alias("hour_start"), "reports")
     )
@@ -105,16 +109,16 @@ def sliding_sector_load(
     )
 
 
-def flight_legs(states: DataFrame, gap: str = "30 minutes", late: str = LATE) -> DataFrame:
-    """Sessions of airborne reports per aircraft, split by a gap alone: a report on the ground
-    does not end a leg, and a leg comes out once the watermark has passed its end."""
-    return (
-        states.where("NOT on_ground").withWatermark("ts", late)
-        .groupBy("icao24", F.session_window("ts", gap).alias("w"))
-        .agg(F.count(F.lit(1)).alias("reports"), F.max("altitude_m").alias("top_altitude_m"))
-        .select("icao24", F.col("w.start").alias("leg_start"), F.col("w.end").alias("leg_end"),
-                "reports", "top_altitude_m")
-    )
+def flight_legs(states: DataFrame, gap_s: int = 1800, late: str = LATE) -> DataFrame:
+    """Legs of each aircraft, ended by a report on the ground or by ``gap_s`` without a report.
+
+    Update mode, in a session of :func:`avspark.session.state_session`; ``sinks.read_legs`` reads the
+    table. A leg is final once the watermark has passed its end; legs before that are flagged.
+    """
+    reports = states.withWatermark("ts", late).select(
+        "icao24", "ts", F.unix_micros("ts").alias("ts_us"), "event_id", (~F.col("on_ground")).alias("airborne"), "altitude_m")
+    return reports.groupBy("icao24").transformWithStateInPandas(
+        legs.LegTracker(gap_s), outputStructType=legs.LEGS, outputMode="Update", timeMode="EventTime")
 
 
 def _age_status(age_s: float) -> str:

@@ -1,6 +1,7 @@
 """Streams against their batch results, late data, and state transitions."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -69,14 +70,6 @@ def test_windowed_counts_equal_batch(spark, sf_dir, landed):
         jobs.sliding_sector_load(batch))
 
 
-def test_append_mode_holds_back_only_open_sessions(spark, sf_dir, landed):
-    table, _ = run(spark, jobs.flight_legs(jobs.position_stream(feed(spark, landed))))
-    batch = jobs.flight_legs(batch_positions(spark, sf_dir))
-    newest = batch_positions(spark, sf_dir).where("NOT on_ground").agg(F.max("ts")).first()[0]
-    closed = batch.where(F.col("leg_end") <= F.lit(newest) - F.expr("interval 5 minutes"))
-    assert rows(sinks.read_appended(spark, table)) == rows(closed)
-
-
 def events(spark, reports):
     """(event_id, minute, user_id) as events inside the box and off the ground."""
     data = [(i * 97 * 11 + 1, T0 + dt.timedelta(minutes=m), u, "view", 50.0 + i, '{"k": 5}')
@@ -97,17 +90,16 @@ def in_box_ids(spark, count):
 
 
 def test_late_rows_are_refused_and_counted(spark):
-    ids = in_box_ids(spark, 4)
+    """Row by row, also where rows of one hour meet in one task, and over several runs."""
+    ids = in_box_ids(spark, 9)
     path = new_path(spark, "late")
-    refused = 0
-    for reports in ([(ids[0], 10, 1), (ids[1], 200, 1)], [(ids[2], 20, 1)], [(ids[3], 400, 1)]):
+    for reports in ([(ids[0], 10, 1), (ids[1], 200, 1)], [(i, 20, 1) for i in ids[2:6]], [(ids[6], 190, 1), (ids[7], 400, 1)], [(ids[8], 30, 1)]):
         land(events(spark, reports), f"{path}/feed")
-        q = sinks.run_to_table(jobs.hourly_counts(jobs.position_stream(feed(spark, f"{path}/feed"))),
-                               f"{path}/t", f"{path}/c")
-        refused += sinks.dropped_late_rows(q)
-    got = {r.hour_start.hour: r.reports for r in sinks.read_appended(spark, f"{path}/t").collect()}
-    assert got == {0: 1, 3: 1}       # minute 20 came after its hour had closed
-    assert refused == 1
+        sinks.run_to_table(jobs.hourly_counts(jobs.position_stream(feed(spark, f"{path}/feed"))), f"{path}/t", f"{path}/c", "update")
+    found = sinks.read_hourly_counts(spark, f"{path}/t").collect()
+    # The reports of minutes 20 and 30 came after their hour had closed.
+    assert {r.hour_start.hour: (r.reports, r.is_open) for r in found} == {0: (1, False), 3: (2, False), 6: (1, True)}
+    assert {r.late_rows_refused for r in found} == {5}
 
 
 def test_repeats_are_removed_across_batches(spark):
@@ -150,7 +142,7 @@ def test_snapshots_of_one_second_stay_apart(spark):
     for report in ((a, 5, 1), (b, 5, 2)):
         land(events(spark, [report]), f"{path}/feed")
     sinks.run_snapshots(jobs.position_stream(feed(spark, f"{path}/feed")), f"{path}/log", f"{path}/c")
-    assert spark.read.parquet(f"{path}/log").count() == 2
+    assert snapshots.read_log(spark, f"{path}/log").select("number").distinct().count() == 2
 
 
 def test_snapshot_retention_on_disk(spark):
@@ -158,12 +150,13 @@ def test_snapshot_retention_on_disk(spark):
     path = new_path(spark, "retention")
     for n, i in enumerate(ids):
         land(events(spark, [(i, n, n)]), f"{path}/feed")
-    sinks.run_snapshots(jobs.position_stream(feed(spark, f"{path}/feed")), f"{path}/log", f"{path}/c")
-    log = spark.read.parquet(f"{path}/log")
+    sinks.run_snapshots(jobs.position_stream(feed(spark, f"{path}/feed")), f"{path}/log", f"{path}/c", keep=4)
+    log = snapshots.read_log(spark, f"{path}/log")
     kept = sorted(r.fetched_at for r in log.select("fetched_at").distinct().collect())
     start = int((T0 - dt.datetime(1970, 1, 1)).total_seconds())
-    assert kept == [start + 60 * n for n in range(2, 12)]
+    assert kept == [start + 60 * n for n in range(8, 12)]
     assert snapshots.latest(log, start + 660).count() == 1
+    assert len(os.listdir(f"{path}/log/data")) <= 9
 
 
 def test_replayed_batch_is_not_counted_twice(spark, landed):
