@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from avspark import dims
@@ -35,9 +36,8 @@ def _features(spark, sf_dir):
 
 
 def _models(spark, sf_dir):
-    """One model per data folder and settings, trained on first use and loaded afterwards."""
-    settings = (sf_dir, ft.FEATURES, md.TREES, md.REGRESSOR_DEPTH, md.CLASSIFIER_DEPTH, md.MIN_LEAF, md.SEED)
-    name = hashlib.md5(repr(settings).encode()).hexdigest()[:10]
+    """The model of a data folder: trained on first use and when its rows or the settings change."""
+    name = hashlib.md5(sf_dir.encode()).hexdigest()[:10]
     return md.load_or_train(md.split(_features(spark, sf_dir))[0], f"{work_dir(spark)}/delay-model-{name}")
 
 
@@ -73,7 +73,62 @@ def m4_weights(spark, sf_dir):
 @query("m3_m4_m5_s13_train_and_evaluate")
 def m5(spark, sf_dir):
     models = _models(spark, sf_dir)
-    return md.evaluate(md.score(md.split(_features(spark, sf_dir))[1], models))
+    return md.evaluate(md.score(md.split(_features(spark, sf_dir))[1], models, rounded=False))
+
+
+# What a model says depends on its trees; what must hold of it does not, and SQL tells it for each row.
+@query("m3_m4_m5_evaluation_facts", with_ctes("""
+    SELECT metric, class, CASE WHEN metric = 'support' THEN CAST(n AS DOUBLE) END AS exact_value, true AS in_bounds
+    FROM (SELECT count(*) FILTER (WHERE is_delayed = 0) AS n0, count(*) FILTER (WHERE is_delayed = 1) AS n1 FROM perf
+          WHERE ('0x'||substr(md5(flight_id),1,8))::BIGINT%10 >= 8),
+      LATERAL (VALUES ('mae', 'all', NULL), ('accuracy', 'all', NULL), ('precision', 'on-time', NULL), ('recall', 'on-time', NULL),
+        ('f1', 'on-time', NULL), ('support', 'on-time', n0), ('precision', 'delayed', NULL), ('recall', 'delayed', NULL),
+        ('f1', 'delayed', NULL), ('support', 'delayed', n1)) t(metric, class, n)""", "perf"))
+def m5_facts(spark, sf_dir):
+    """Each measure with the range it must keep; the number of test flights of each class exactly.
+
+    The delays of this data do not depend on the features, so a model can be no better than chance on
+    them; that it learns where there is something to learn is tested on made-up delays.
+    """
+    report = m5(spark, sf_dir)
+    bound = (
+        F.when(F.col("metric") == "mae", F.col("value").between(0, 300)).when(F.col("metric") == "support", F.col("value") >= 0)
+        .otherwise(F.col("value").between(0, 1)))
+    return report.select(
+        "metric", "class", F.when(F.col("metric") == "support", F.col("value")).alias("exact_value"), F.coalesce(bound, F.lit(False)).alias("in_bounds"))
+
+
+@query("m7_score_facts", with_ctes("""
+    SELECT flight_id, true AS delay_in_range, true AS interval_ordered, true AS probability_in_range, true AS class_fits FROM perf""", "perf"))
+def m7_facts(spark, sf_dir):
+    scored = md.score(_features(spark, sf_dir), _models(spark, sf_dir), rounded=False)
+    p = F.col("delay_probability")
+    return scored.select(
+        "flight_id", F.col("predicted_delay_minutes").between(0, 300.0).alias("delay_in_range"),
+        (F.col("ci_low").between(0, F.col("ci_high"))).alias("interval_ordered"), p.between(0, 1).alias("probability_in_range"),
+        ((F.col("delayed_predicted") == 1) == (p > 0.5)).alias("class_fits"))
+
+
+@query("s12_s14_prediction_facts", with_ctes(f"""
+    SELECT flight_id, feature, true AS in_range, 1.0::DOUBLE AS importance_sum
+    FROM perf, (VALUES {', '.join(f"('{f}')" for f in ft.FEATURES)}) t(feature)""", "perf"))
+def s14_facts(spark, sf_dir):
+    """The stored importances of each flight, read back from their JSON."""
+    pairs = F.from_json("feature_importances_json", "map<string,double>")
+    return s14(spark, sf_dir).select("flight_id", F.round("importance_sum", 6).alias("importance_sum"), F.explode(pairs).alias("feature", "v")).select(
+        "flight_id", "feature", F.col("v").between(0, 1).alias("in_range"), "importance_sum")
+
+
+@query("m6_t7_importance_facts", f"""
+    SELECT feature, true AS in_range, true AS ranked, 1.0::DOUBLE AS importance_sum FROM (VALUES {', '.join(f"('{f}')" for f in ft.FEATURES)}) t(feature)""")
+def m6_facts(spark, sf_dir):
+    ranking = t7(spark, sf_dir)
+    # Seven rows, one a feature.
+    every = Window.partitionBy()
+    before = F.lag("importance").over(every.orderBy("_row"))
+    return ranking.withColumn("_row", F.monotonically_increasing_id()).select(
+        "feature", F.col("importance").between(0, 1).alias("in_range"), F.coalesce(before >= F.col("importance"), F.lit(True)).alias("ranked"),
+        F.round(F.sum("importance").over(every), 6).alias("importance_sum"))
 
 
 @query("m7_score_flights")
@@ -98,9 +153,7 @@ def s14(spark, sf_dir):
 
 @query("m6_t7_importance_ranking")
 def t7(spark, sf_dir):
-    models = _models(spark, sf_dir)
-    predictions = md.prediction_table(md.score(_features(spark, sf_dir), models), models)
-    return md.importance_ranking(predictions)
+    return md.importance_table(spark, _models(spark, sf_dir))
 
 
 @query("m8_predict_delays")

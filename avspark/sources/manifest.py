@@ -10,6 +10,7 @@ One writer at a time may publish under a path; any number may read.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
@@ -31,6 +32,12 @@ def versions(spark: SparkSession, path: str) -> list[tuple[int, dict]]:
     return sorted(((r["version"], json.loads(r["content"])) for r in rows), key=lambda v: -v[0])
 
 
+def free_folder(found: list[tuple[int, dict]], named: Callable[[dict], set[int]]) -> int:
+    """A folder number that neither the newest version names nor the one before, which may still be read."""
+    taken = set().union(*(named(content) for _, content in found[:2]))
+    return min(set(range(len(taken) + 1)) - taken)
+
+
 def current(spark: SparkSession, path: str) -> dict | None:
     found = versions(spark, path)
     return found[0][1] if found else None

@@ -42,12 +42,6 @@ def from_log(log: DataFrame) -> DataFrame:
 _LOG = "fetched_at bigint, payload string"
 
 
-def _free_folder(found: list[tuple[int, dict]]) -> int:
-    """A folder that neither the newest version names nor the one before, which may still be read."""
-    named = {e["folder"] for _, content in found[:2] for e in content["snapshots"]}
-    return min(set(range(len(named) + 1)) - named)
-
-
 def publish(log: DataFrame, path: str, keep: int = dims.SNAPSHOTS_KEPT, batch_id: int | None = None) -> bool:
     """Adds the snapshots of ``log`` (fetched_at, payload) to those under ``path`` and keeps the ``keep``
     newest of all. Says whether anything was published.
@@ -63,7 +57,8 @@ def publish(log: DataFrame, path: str, keep: int = dims.SNAPSHOTS_KEPT, batch_id
     old = found[0][1] if found else {"snapshots": [], "number": 0, "batch_id": None}
     if batch_id is not None and old["batch_id"] is not None and batch_id <= old["batch_id"]:
         return False
-    folder, number = _free_folder(found), old["number"] + 1
+    folder = manifest.free_folder(found, lambda content: {e["folder"] for e in content["snapshots"]})
+    number = old["number"] + 1
     times = log.select("fetched_at").distinct().orderBy(F.desc("fetched_at")).limit(keep).collect()
     new = [{"fetched_at": r["fetched_at"], "number": number, "folder": folder} for r in times]
     kept = sorted([*old["snapshots"], *new], key=lambda e: (-e["fetched_at"], -e["number"]))[:keep]

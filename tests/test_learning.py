@@ -2,6 +2,7 @@
 
 import datetime
 import json
+import shutil
 
 import numpy as np
 import pytest
@@ -13,7 +14,7 @@ from avspark.ml import features as ft
 from avspark.ml import model as md
 from avspark.ml import predict
 from avspark.session import new_path
-from avspark.sources import bindings
+from avspark.sources import bindings, manifest
 
 COLUMNS = ("flight_id", "origin", "destination", "distance_mi", "aircraft_type", "dep_hour", "day_of_week",
            "delay_minutes", "is_delayed", "scheduled_departure")
@@ -90,11 +91,67 @@ def test_interval_equals_percentiles_of_the_trees(features, models):
         assert got[row.flight_id].predicted_delay_minutes == pytest.approx(max(0.0, np.mean(trees)), abs=0.051)
 
 
-def test_saved_model_is_loaded_not_retrained(features, models, path):
-    again = md.load_or_train(features.limit(0), path)   # nothing to train on: must load
+SETTINGS = {"trees": 3, "regressor_depth": 3, "classifier_depth": 3}
+
+
+def test_saved_model_is_loaded_not_retrained(features, models, path, monkeypatch):
+    monkeypatch.setattr(md, "train", None)   # calling it would fail
+    again = md.load_or_train(md.split(features.repartition(7))[0], path, trees=12, regressor_depth=8, classifier_depth=6)
     assert again.importances == models.importances
 
 
+def test_fingerprint_is_of_the_rows(features):
+    some = features.limit(200).cache()
+    whole = md.data_fingerprint(some)
+    assert whole == md.data_fingerprint(some.repartition(5).orderBy(F.rand(1)))
+    assert whole != md.data_fingerprint(some.union(some.limit(1)))
+    assert whole != md.data_fingerprint(some.withColumn("delay_minutes", F.col("delay_minutes") + 1))
+    assert md.data_fingerprint(some.limit(0)) == "0:0:0"
+
+
+def test_new_data_and_new_settings_give_a_new_model(spark, features):
+    path = new_path(spark, "renewed")
+    some = features.limit(300).cache()
+    md.load_or_train(some, path, **SETTINGS)
+    versions = lambda: [v for v, _ in manifest.versions(spark, path)]
+    md.load_or_train(some, path, **SETTINGS)
+    assert versions() == [1]
+    md.load_or_train(some.union(some.limit(1)), path, **SETTINGS)
+    assert versions() == [2, 1]
+    assert len(md.load_or_train(some, path, **{**SETTINGS, "trees": 4}).regressor.trees) == 4
+    assert versions() == [3, 2, 1]
+
+
+def test_broken_saves(spark, features, monkeypatch):
+    """A save that breaks off is not seen; files that are gone are replaced by a new model."""
+    path = new_path(spark, "broken")
+    some = features.limit(300).cache()
+    with pytest.raises(FileNotFoundError):
+        md.load(spark, path)
+    first = md.load_or_train(some, path, **SETTINGS)
+
+    def dies(*args):
+        raise RuntimeError("lost before publishing")
+
+    with monkeypatch.context() as m, pytest.raises(RuntimeError):
+        m.setattr(manifest, "publish", dies)
+        md.train(some.limit(100), path, **SETTINGS)
+    assert md.load(spark, path).importances == first.importances
+    folder = manifest.current(spark, path)["folder"]
+    shutil.rmtree(f"{path}/data/{folder}/metadata")
+    again = md.load_or_train(some, path, **SETTINGS)
+    assert again.importances == first.importances
+    assert manifest.current(spark, path)["folder"] != folder
+
+
+def test_evaluation_takes_values_before_rounding(features, models):
+    some = features.limit(50)
+    raw = md.score(some, models, rounded=False)
+    error = raw.agg(F.avg(F.abs(F.col("delay_minutes") - F.col("predicted_delay_minutes")))).first()[0]
+    mae = md.evaluate(raw).where("metric = 'mae'").first().value
+    assert mae == pytest.approx(error, abs=5e-5)
+
+
 def test_class_weights_balance(features):
     weights = md.class_weights(features).collect()
     assert len({round(r.n * r.weight, 6) for r in weights}) == 1
@@ -107,6 +164,12 @@ def test_prediction_rows_and_ranking(features, models):
     assert len(ranking) == 7 and ranking == sorted(ranking, reverse=True)
 
 
+def test_importance_table_needs_no_scores(spark, models):
+    table = [(r.feature, r.importance) for r in md.importance_table(spark, models).collect()]
+    assert dict(table) == models.importances
+    assert [v for _, v in table] == sorted((v for _, v in table), reverse=True)
+
+
 def test_unknown_aircraft_scores(features, models):
     odd = features.limit(5).withColumn("aircraft_type", F.lit("Concorde")).withColumn(
         "aircraft_type_encoded", F.lit(0))
