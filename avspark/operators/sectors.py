@@ -81,19 +81,49 @@ def leg_positions(legs: DataFrame, n: int = N_POSITIONS, table=dims.AIRPORTS) ->
     return legs.join(points, _ROUTE).withColumn("hour", _clock_hour())
 
 
+def _crossings(legs: DataFrame, n: int, table) -> DataFrame:
+    """Points of each leg in each (sector, hour) it crosses, with the leg's flights."""
+    return (
+        # Points outside the grid become -1 and fall away in the final join.
+        leg_positions(legs, n, table)
+        .groupBy(*_ROUTE, "dep_hour", "duration_min",
+                 F.coalesce("sector_id", F.lit(-1)).alias("sector_id"), "hour")
+        .agg(F.count(F.lit(1)).alias("points"), F.max("flights").alias("flights"))
+    )
+
+
+def sector_load_by_day(flights: DataFrame, n: int = N_POSITIONS, table=dims.AIRPORTS) -> DataFrame:
+    """Dense day x sector x hour load of the flights that leave on each day (UTC).
+
+    As in a day's own plan, hours past midnight wrap to the day of departure. Flights without a time
+    are on no day. Which cells a leg crosses does not depend on the day: that is worked out once for each
+    (route, hour, duration) and joined to the days' counts of flights.
+    """
+    shape = [*_ROUTE, "dep_hour", "duration_min"]
+    legs = (
+        flights.where(F.col("scheduled_departure").isNotNull())
+        .groupBy(F.to_date("scheduled_departure").alias("day"), *_ROUTE, "dep_hour",
+                 ff.flight_minutes(F.col("distance_mi")).alias("duration_min"))
+        .agg(F.count(F.lit(1)).alias("flights")))
+    shapes = legs.select(*shape).distinct().withColumn("flights", F.lit(1))
+    crossed = _crossings(shapes, n, table).drop("flights").where("sector_id >= 0")
+    load = legs.join(crossed, shape).groupBy("day", "sector_id", "hour").agg(
+        F.sum(F.col("points") * F.col("flights")).alias("positions"), F.sum("flights").alias("distinct_flights"))
+    # One row for each day of the calendar that has flights.
+    cells = legs.select("day").distinct().select("day", F.explode(F.sequence(F.lit(0), F.lit(20 * 24 - 1))).alias("cell"))
+    grid = cells.select("day", F.expr("cast(cell div 24 as int)").alias("sector_id"), (F.col("cell") % 24).alias("hour"))
+    return (
+        grid.join(load, ["day", "sector_id", "hour"], "left").na.fill(0, ["positions", "distinct_flights"])
+        .withColumn("sector", geo.sector_label(F.col("sector_id"))))
+
+
 def sector_load(flights: DataFrame, n: int = N_POSITIONS, table=dims.AIRPORTS) -> DataFrame:
     """Dense sector x hour load: counted positions, and distinct flights.
 
     A flight's path crosses the same cells as every other flight of its leg, so distinct
     flights are the sum of the legs' counts; no flight id is ever collected.
     """
-    crossed = (
-        # Points outside the grid become -1 and fall away in the final join.
-        leg_positions(flights_per_leg(flights), n, table)
-        .groupBy(*_ROUTE, "dep_hour", "duration_min",
-                 F.coalesce("sector_id", F.lit(-1)).alias("sector_id"), "hour")
-        .agg(F.count(F.lit(1)).alias("points"), F.max("flights").alias("flights"))
-    )
+    crossed = _crossings(flights_per_leg(flights), n, table)
     load = crossed.groupBy("sector_id", "hour").agg(
         F.sum(F.col("points") * F.col("flights")).alias("positions"),
         F.sum("flights").alias("distinct_flights"),
@@ -110,30 +140,30 @@ def densify(load: DataFrame, spark: SparkSession, counts: list[str]) -> DataFram
     return grid.join(F.broadcast(load), ["sector_id", "hour"], "left").na.fill(0, counts)
 
 
-def overloaded(load: DataFrame, threshold: int = dims.SECTOR_OVERLOAD) -> DataFrame:
-    """Sector-hours at or over the threshold, busiest first."""
+def overloaded(load: DataFrame, threshold: int = dims.SECTOR_OVERLOAD, by: tuple[str, ...] = ()) -> DataFrame:
+    """Sector-hours at or over the threshold, busiest first; ``by=("day",)`` for the load of days."""
     return (
         load.where(F.col("positions") >= threshold)
-        .select("sector", "hour", F.col("positions").alias("aircraft_count"),
+        .select(*by, "sector", "hour", F.col("positions").alias("aircraft_count"),
                 F.lit("FLOW CONTROL").alias("alert"))
-        .orderBy(F.desc("aircraft_count"), "sector", "hour")
+        .orderBy(*by, F.desc("aircraft_count"), "sector", "hour")
     )
 
 
-def peak(load: DataFrame, threshold: int = dims.SECTOR_OVERLOAD) -> DataFrame:
+def peak(load: DataFrame, threshold: int = dims.SECTOR_OVERLOAD, by: tuple[str, ...] = ()) -> DataFrame:
     """The busiest sector-hour (first in sector, hour order) and the overload count."""
     rank = F.struct("positions", -F.col("sector_id"), -F.col("hour"))
     top = F.max_by(F.struct("sector", "hour", "positions"), rank)
-    return load.agg(
+    return load.groupBy(*by).agg(
         top.alias("_top"), F.count_if(F.col("positions") >= threshold).alias("overloaded_count")
     ).select(
-        F.col("_top.sector").alias("peak_sector"), F.col("_top.hour").alias("peak_hour"),
+        *by, F.col("_top.sector").alias("peak_sector"), F.col("_top.hour").alias("peak_hour"),
         F.col("_top.positions").alias("peak_positions"), "overloaded_count",
     )
 
 
-def hourly_totals(load: DataFrame) -> DataFrame:
-    return load.groupBy("hour").agg(F.sum("positions").alias("positions")).orderBy("hour")
+def hourly_totals(load: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    return load.groupBy(*by, "hour").agg(F.sum("positions").alias("positions")).orderBy(*by, "hour")
 
 
 def load_matrix(load: DataFrame) -> DataFrame:

@@ -413,6 +413,55 @@ def a21(spark, sf_dir):
     return sectors.hourly_totals(_load(spark, sf_dir))
 
 
+# The same for the flights of each day, which is what the overload rule is about.
+_DAY_CTES = dict(
+    legs="""SELECT flight_id, CAST(scheduled_departure AS DATE) AS day, dep_hour, CAST(trunc(p.distance_mi/520*60+40) AS INTEGER) AS duration_min,
+              pairs.o_lat, pairs.o_lon, pairs.d_lat, pairs.d_lon
+            FROM ops p JOIN pairs USING (origin, destination)""",
+    wp=great_circle("legs", 30),
+    grid=_GRID,
+    load=f"""SELECT day, s AS sector_id, h AS hour, count(*) AS positions, count(DISTINCT flight_id) AS fl
+             FROM (SELECT flight_id, day, {_LEG_HOUR} AS h, {sector('lat', 'lon')} AS s FROM wp)
+             WHERE s IS NOT NULL GROUP BY ALL""",
+    dense="""SELECT d.day, grid.sector_id, sector, CAST(h AS INTEGER) AS hour,
+               CAST(coalesce(positions, 0) AS BIGINT) AS positions,
+               CAST(coalesce(fl, 0) AS BIGINT) AS distinct_flights
+             FROM (SELECT DISTINCT day FROM legs) d, grid, range(24) t(h)
+             LEFT JOIN load l ON l.day = d.day AND l.sector_id = grid.sector_id AND l.hour = h""",
+)
+
+
+def _load_by_day(spark, sf_dir):
+    return sectors.sector_load_by_day(
+        b.ops_flights(spark, sf_dir, "origin", "destination", "dep_hour", "distance_mi", "scheduled_departure"))
+
+
+@query("a18_sector_load_by_day", with_ctes("SELECT * FROM dense", "ops", "pairs", **_DAY_CTES))
+def a18_by_day(spark, sf_dir):
+    return _load_by_day(spark, sf_dir)
+
+
+@query("a19_overloaded_by_day", with_ctes("""
+    SELECT day, sector, hour, positions AS aircraft_count, 'FLOW CONTROL' AS alert FROM dense WHERE positions >= 15""",
+    "ops", "pairs", **_DAY_CTES))
+def a19_by_day(spark, sf_dir):
+    return sectors.overloaded(_load_by_day(spark, sf_dir), by=("day",))
+
+
+@query("a20_peak_by_day", with_ctes("""
+    SELECT day, sector AS peak_sector, hour AS peak_hour, positions AS peak_positions, overloaded_count
+    FROM (SELECT *, CAST(count(*) FILTER (WHERE positions >= 15) OVER (PARTITION BY day) AS BIGINT) AS overloaded_count FROM dense)
+    QUALIFY row_number() OVER (PARTITION BY day ORDER BY positions DESC, sector_id, hour) = 1""", "ops", "pairs", **_DAY_CTES))
+def a20_by_day(spark, sf_dir):
+    return sectors.peak(_load_by_day(spark, sf_dir), by=("day",))
+
+
+@query("a21_hourly_totals_by_day", with_ctes(
+    "SELECT day, hour, CAST(sum(positions) AS BIGINT) AS positions FROM dense GROUP BY day, hour", "ops", "pairs", **_DAY_CTES))
+def a21_by_day(spark, sf_dir):
+    return sectors.hourly_totals(_load_by_day(spark, sf_dir), by=("day",))
+
+
 @query("t4_peak_sector_hours", with_ctes(
     "SELECT sector, hour, positions AS count FROM dense ORDER BY positions DESC, hour, sector LIMIT 5",
     "perf", "pairs", **_LOAD_CTES))
