@@ -9,7 +9,7 @@ from avspark.functions import flights as ff
 from avspark.functions import geo
 from avspark.functions.numeric import round_dp
 from avspark.functions.weather import RISK_DEFAULTS
-from avspark.ml.features import DEFAULT_WEATHER_SCORE
+from avspark.ml.features import DEFAULT_WEATHER_SCORE, fill_missing_inputs
 from avspark.ml.model import DelayModels, score
 from avspark.operators import quality, weather
 from avspark.operators.lookups import with_route_airports
@@ -80,3 +80,36 @@ def predict_delays(
     rejected = checked_requests(requests).where(F.size("errors") > 0).select(
         "request_id", "origin", "destination", F.concat_ws(",", "errors").alias("errors"))
     return answered.withColumn("errors", F.lit("")).unionByName(rejected, allowMissingColumns=True)
+
+
+_ASKED_BY_HOUR = ["origin_format", "destination_format", "aircraft_type", "dep_hour", "day_of_week", "distance_mi"]
+
+
+def hour_request_features(requests: DataFrame, reports: DataFrame, network: DataFrame, airports: DataFrame) -> DataFrame:
+    """Model inputs of requests that name an hour and a weekday instead of a date, and ``errors``.
+
+    Weather is that of the reference day at the hour asked for; the distance is the given one or the
+    routes' own. Unknown airports are no error: they have the default score and distance. Requests with
+    errors have no inputs.
+    """
+    checked = quality.validate_requests(requests).withColumn("errors", F.filter("errors", lambda e: e.isin(_ASKED_BY_HOUR)))
+    filled = fill_missing_inputs(checked, reports, network, airports)
+    usable = F.size("errors") == 0
+    inputs = {
+        "origin_weather_score": F.col("origin_score"), "dest_weather_score": F.col("destination_score"), "distance_mi": F.col("distance_mi"),
+        "aircraft_type_encoded": ff.encode_aircraft(F.col("aircraft_type")),
+        "route_congestion_score": ff.congestion_score(F.col("origin"), F.col("destination"), F.col("dep_hour"))}
+    return filled.select(
+        "request_id", "origin", "destination", "dep_hour", "day_of_week",
+        *[F.when(usable, value).alias(name) for name, value in inputs.items()], F.concat_ws(",", "errors").alias("errors"))
+
+
+def predict_at_hour(
+    requests: DataFrame, reports: DataFrame, network: DataFrame, airports: DataFrame, models: DelayModels
+) -> DataFrame:
+    """One row per request of :func:`hour_request_features`: inputs, delay, probability, interval and label,
+    or the errors that prevent them."""
+    asked = hour_request_features(requests, reports, network, airports)
+    answered = score(asked.where("errors = ''"), models).drop("delayed_predicted").withColumn(
+        "risk_label", ff.risk_label(F.col("delay_probability")))
+    return answered.unionByName(asked.where("errors <> ''"), allowMissingColumns=True)

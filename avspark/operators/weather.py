@@ -23,11 +23,12 @@ def hourly_reports(reports: DataFrame, *values: str) -> DataFrame:
     """The last report of each airport and hour; ``ts`` becomes the hour.
 
     Only the named columns are kept. A single numeric one is reduced by hash aggregation;
-    several travel as one struct so that a row's values stay together.
+    several travel as one struct so that a row's values stay together. Of reports of the same
+    instant the one with the largest values counts, whatever the partitioning.
     """
     one = F.col(values[0]) if len(values) == 1 else F.struct(*values)
     newest = reports.groupBy("airport", _hour_of(F.col("ts")).alias("_hour")).agg(
-        F.max_by(one, "ts").alias("_v")
+        F.max_by(one, F.struct("ts", *values)).alias("_v")
     )
     out = [F.col("_v").alias(values[0])] if len(values) == 1 else [F.col("_v.*")]
     return newest.select("airport", F.col("_hour").alias("ts"), *out)

@@ -11,7 +11,7 @@ from avspark import dims
 from avspark.ml import features as ft
 from avspark.ml import model as md
 from avspark.ml import predict
-from avspark.plans.ctes import congestion, fixed, rnd, with_ctes
+from avspark.plans.ctes import congestion, fixed, haversine, rnd, with_ctes
 from avspark.plans.flights import REQUESTS, VALIDATED
 from avspark.plans.registry import query
 from avspark.session import new_path, work_dir
@@ -187,3 +187,60 @@ def m8(spark, sf_dir):
 def m8_fallback(spark, sf_dir):
     return predict.predict_delays(
         b.requests(spark, sf_dir), b.live_weather(spark, sf_dir), dims.airports(spark), None)
+
+
+_BY_HOUR = "'origin_format|destination_format|aircraft_type|dep_hour|day_of_week|distance_mi'"
+_HOUR_REQUESTS = dict(
+    requests=REQUESTS, pinned=_PINNED, valid=VALIDATED,
+    asked=f"""SELECT *, array_to_string(list_filter(string_split(errors, ','), lambda e: regexp_matches(e, {_BY_HOUR})), ',') AS wrong FROM valid""",
+    inputs=f"""
+    SELECT request_id, a.origin, a.destination, dep_hour, day_of_week, wrong AS errors,
+      CASE WHEN wrong = '' THEN coalesce(po.impact, 0.3) END AS origin_weather_score,
+      CASE WHEN wrong = '' THEN coalesce(pd.impact, 0.3) END AS dest_weather_score,
+      CASE WHEN wrong = '' THEN coalesce(a.distance_mi, {rnd(haversine('o.lat', 'o.lon', 'd.lat', 'd.lon'), 1)}, 1500.0::DOUBLE) END AS distance_mi,
+      CASE WHEN wrong = '' THEN CAST(list_position(['Airbus A320','Airbus A321','Boeing 737','Boeing 777'], aircraft_type)-1 AS INTEGER) END
+        AS aircraft_type_encoded,
+      CASE WHEN wrong = '' THEN {congestion('a.origin', 'a.destination', 'dep_hour')} END AS route_congestion_score
+    FROM asked a LEFT JOIN pinned po ON po.airport=a.origin AND po.hour=dep_hour
+    LEFT JOIN pinned pd ON pd.airport=a.destination AND pd.hour=dep_hour
+    LEFT JOIN airports o ON o.code=a.origin LEFT JOIN airports d ON d.code=a.destination""")
+_HOUR_TABLES = ("ops", "obs", "bounds", "network", "airports")
+
+
+@query("m8_hour_request_features", with_ctes("SELECT * FROM inputs", *_HOUR_TABLES, **_HOUR_REQUESTS))
+def m8_hour_features(spark, sf_dir):
+    return predict.hour_request_features(
+        b.requests(spark, sf_dir), b.weather_obs(spark, sf_dir), _network(spark), dims.airports(spark))
+
+
+@query("m8_predict_at_hour", with_ctes("""
+    SELECT *, errors = '' AS answered, true AS consistent FROM inputs""", *_HOUR_TABLES, **_HOUR_REQUESTS))
+def m8_at_hour(spark, sf_dir):
+    """Inputs exactly; of the answers what must hold whatever the trees: ranges, order, the label of the probability."""
+    found = predict.predict_at_hour(
+        b.requests(spark, sf_dir), b.weather_obs(spark, sf_dir), _network(spark), dims.airports(spark), _models(spark, sf_dir))
+    p, label = F.col("delay_probability"), F.col("risk_label")
+    fits = p.between(0, 1) & (F.col("predicted_delay_minutes") >= 0) & (F.col("ci_low") <= F.col("ci_high")) & (
+        F.when(label == "HIGH", p > 0.6).when(label == "MODERATE", (p > 0.35) & (p <= 0.6)).otherwise(p <= 0.35))
+    unanswered = p.isNull() & F.col("ci_low").isNull() & label.isNull()
+    return found.withColumn("answered", p.isNotNull()).withColumn(
+        "consistent", F.when(F.col("errors") == "", fits).otherwise(unanswered)).drop(
+        "predicted_delay_minutes", "delay_probability", "ci_low", "ci_high", "risk_label")
+
+
+@query("m8_predict_facts", with_ctes(f"""
+    SELECT request_id, origin, destination, array_to_string(wrong, ',') AS errors,
+      CASE WHEN len(wrong) = 0 THEN greatest(coalesce(o.risk_score, 0.3::DOUBLE), coalesce(d.risk_score, 0.3::DOUBLE)) END AS weather_risk_score,
+      true AS consistent
+    FROM (SELECT *, list_filter(string_split(errors, ','),
+            lambda e: regexp_matches(e, 'origin|destination|departure|airline|aircraft')) AS wrong FROM ({VALIDATED})) v
+    LEFT JOIN latest_live o ON o.airport=v.origin LEFT JOIN latest_live d ON d.airport=v.destination""",
+    "ops", "latest_live", requests=REQUESTS))
+def m8_facts(spark, sf_dir):
+    """The blended answers: risk and errors exactly, the probability within what the blend allows."""
+    final, r = F.col("blended_probability"), F.col("weather_risk_score")
+    # 0.7 of a probability and 0.3 of the risk, rounded to three places; the delay is 90 minutes of it.
+    fits = final.between(0.3 * r - 0.0006, 0.7 + 0.3 * r + 0.0006) & (F.abs(F.col("expected_delay_minutes") - 90 * final) <= 0.051)
+    return m8(spark, sf_dir).select(
+        "request_id", "origin", "destination", "errors", "weather_risk_score",
+        F.when(F.col("errors") == "", fits).otherwise(final.isNull()).alias("consistent"))
