@@ -110,13 +110,13 @@ def m7_facts(spark, sf_dir):
 
 
 @query("s12_s14_prediction_facts", with_ctes(f"""
-    SELECT flight_id, feature, true AS in_range, 1.0::DOUBLE AS importance_sum
-    FROM perf, (VALUES {', '.join(f"('{f}')" for f in ft.FEATURES)}) t(feature)""", "perf"))
+    SELECT flight_id, {len(ft.FEATURES)} AS n_features, true AS in_range, 1.0::DOUBLE AS importance_sum FROM perf""", "perf"))
 def s14_facts(spark, sf_dir):
     """The stored importances of each flight, read back from their JSON."""
-    pairs = F.from_json("feature_importances_json", "map<string,double>")
-    return s14(spark, sf_dir).select("flight_id", F.round("importance_sum", 6).alias("importance_sum"), F.explode(pairs).alias("feature", "v")).select(
-        "flight_id", "feature", F.col("v").between(0, 1).alias("in_range"), "importance_sum")
+    values = F.map_values(F.from_json("feature_importances_json", "map<string,double>"))
+    return s14(spark, sf_dir).select(
+        "flight_id", F.size(values).alias("n_features"), F.forall(values, lambda v: v.between(0, 1)).alias("in_range"),
+        F.round("importance_sum", 6).alias("importance_sum"))
 
 
 @query("m6_t7_importance_facts", f"""
