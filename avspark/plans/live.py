@@ -26,6 +26,26 @@ def s6(spark, sf_dir):
     return decode.decode_states(b.raw_states(spark, sf_dir))
 
 
+@query("s6_quarantine", with_ctes("""
+    SELECT event_id, vector, accepted, reason, CASE WHEN accepted THEN icao24 END AS icao24, CASE WHEN accepted THEN latitude END AS latitude
+    FROM (
+      SELECT event_id, CAST(v AS INTEGER) AS vector, icao24, latitude, reason IS NULL AS accepted, reason FROM (
+        SELECT *, CASE WHEN v = 1 OR latitude IS NULL THEN 'missing_position' WHEN event_id%83=1 THEN 'bad_number' END AS reason
+        FROM states, range(2) t(v) WHERE event_id%89<>0)
+      UNION ALL SELECT event_id, NULL, icao24, latitude, false, 'bad_response' FROM states WHERE event_id%89=0)""", "states"))
+def s6_quarantine(spark, sf_dir):
+    """Accepted and quarantined vectors together are all vectors; some responses are cut off, some have a word for a number."""
+    e, text = F.col("event_id"), F.col("response")
+    word = F.regexp_replace(text, r'("[^"]*","[^"]*","[^"]*",1,2),[-0-9.Ee]+,', '$1,"east",')
+    responses = b.raw_states(spark, sf_dir).withColumn(
+        "response", F.when(e % 89 == 0, F.substring(text, 1, 30)).when(e % 83 == 1, word).otherwise(text))
+    path = new_path(spark, "quarantine")
+    decode.write_with_quarantine(responses, path)
+    good, bad = decode.read_accepted(spark, path), decode.read_quarantine(spark, path)
+    return good.select("event_id", "vector", F.lit(True).alias("accepted"), F.lit(None).cast("string").alias("reason"), "icao24", "latitude").unionByName(
+        bad.select("event_id", "vector", F.lit(False).alias("accepted"), "reason"), allowMissingColumns=True)
+
+
 _FORECAST = """
     SELECT event_id, CAST(s AS INTEGER) AS step, (event_id%30+s)::DOUBLE AS temperature_c,
       CASE WHEN event_id%5=0 THEN 5.0 ELSE event_id%50+s END::DOUBLE AS wind_speed_knots,

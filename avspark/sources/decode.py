@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from avspark import schemas
@@ -31,25 +32,77 @@ def decode_states(responses: DataFrame, column: str = "response") -> DataFrame:
         responses.withColumn("_r", F.from_json(column, schemas.RAW_STATES))
         .select(*kept, F.col("_r.time").alias("fetched_at"), F.explode("_r.states").alias("s"))
     )
+    return vectors.where(_number(5).isNotNull() & _number(6).isNotNull()).select(*kept, "fetched_at", *_state())
 
-    def slot(i: int) -> Column:
-        return F.get("s", F.lit(i))
 
-    def number(i: int) -> Column:
-        return slot(i).try_cast("double")
+def _slot(i: int) -> Column:
+    return F.get("s", F.lit(i))
 
-    def text(i: int) -> Column:
-        return F.coalesce(slot(i), F.lit(""))
 
-    return vectors.where(number(5).isNotNull() & number(6).isNotNull()).select(
-        *kept, "fetched_at",
+def _number(i: int) -> Column:
+    return _slot(i).try_cast("double")
+
+
+def _state() -> list[Column]:
+    """The typed fields of a vector ``s``."""
+    text = lambda i: F.coalesce(_slot(i), F.lit(""))
+    return [
         text(0).alias("icao24"), F.trim(text(1)).alias("callsign"), text(2).alias("origin_country"),
-        number(5).alias("longitude"), number(6).alias("latitude"),
-        positions.best_altitude(number(13), number(7)).alias("altitude_m"),
-        F.coalesce(number(9), F.lit(0.0)).alias("velocity_mps"),
-        F.coalesce(number(10), F.lit(0.0)).alias("heading_deg"),
-        F.coalesce(slot(8).try_cast("boolean"), F.lit(False)).alias("on_ground"),
-    )
+        _number(5).alias("longitude"), _number(6).alias("latitude"),
+        positions.best_altitude(_number(13), _number(7)).alias("altitude_m"),
+        F.coalesce(_number(9), F.lit(0.0)).alias("velocity_mps"),
+        F.coalesce(_number(10), F.lit(0.0)).alias("heading_deg"),
+        F.coalesce(_slot(8).try_cast("boolean"), F.lit(False)).alias("on_ground"),
+    ]
+
+
+def classified_states(responses: DataFrame, column: str = "response") -> DataFrame:
+    """Every position vector of every response: its typed fields, ``accepted``, and why not.
+
+    ``vector`` is its place in the response. Accepted are the rows of :func:`decode_states`. Reasons:
+    ``bad_response`` (no list of states could be read) and ``no_states`` (an empty list) for a response, with
+    one row and no place; ``missing_position`` and ``bad_number`` for a vector without a usable
+    longitude and latitude. ``raw`` keeps what was rejected, as text.
+    """
+    kept = [c for c in responses.columns if c != column]
+    vectors = responses.withColumn("_r", F.from_json(column, schemas.RAW_STATES)).select(
+        *kept, F.col(column).alias("_text"), F.col("_r.time").alias("fetched_at"), F.col("_r.states").isNull().alias("_bad"),
+        F.posexplode_outer("_r.states").alias("vector", "s"))
+    reason = (
+        F.when(F.col("_bad"), "bad_response").when(F.col("vector").isNull(), "no_states")
+        .when(_slot(5).isNull() | _slot(6).isNull(), "missing_position")
+        .when(_number(5).isNull() | _number(6).isNull(), "bad_number"))
+    return vectors.withColumn("reason", reason).select(
+        *kept, "fetched_at", "vector", F.col("reason").isNull().alias("accepted"), "reason",
+        F.when(F.col("vector").isNull(), F.col("_text")).when(F.col("reason").isNotNull(), F.coalesce(F.to_json("s"), F.lit("null"))).alias("raw"),
+        *_state())
+
+
+def write_with_quarantine(responses: DataFrame, path: str, column: str = "response") -> None:
+    """Writes accepted vectors and rejected ones in one pass over ``responses``, each to its own part of
+    ``path``. Writing again replaces both: a stream gives each batch a path of its own, so that a
+    replay counts nothing twice."""
+    classified_states(responses, column).write.mode("overwrite").partitionBy("accepted").parquet(path)
+
+
+def _classified(spark: SparkSession, path: str) -> DataFrame:
+    try:
+        return spark.read.parquet(path)   # the folder's name makes ``accepted`` a string
+    except AnalysisException as error:
+        if "UNABLE_TO_INFER_SCHEMA" not in str(error):
+            raise
+        empty = classified_states(spark.createDataFrame([], "response string"))   # written from no vectors
+        return empty.withColumn("accepted", F.col("accepted").cast("string"))
+
+
+def read_accepted(spark: SparkSession, path: str) -> DataFrame:
+    return _classified(spark, path).where("accepted = 'true'").drop("accepted", "reason", "raw")
+
+
+def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    """What was rejected, why, and its text."""
+    fields = [f.name for f in schemas.AIRCRAFT_STATE.fields]
+    return _classified(spark, path).where("accepted = 'false'").drop("accepted", *fields)
 
 
 def _forecast(payloads: DataFrame, column: str) -> DataFrame:
