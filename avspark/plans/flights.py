@@ -282,6 +282,32 @@ def h2(spark, sf_dir):
     return op.route_distances(flights, dims.airports(spark))
 
 
+_FLAT, _RADIUS_MI = 1 / 298.257223563, 6378.137 / 1.609344  # WGS-84, fixed values
+
+
+@query("h2_ellipsoidal_facts", with_ctes(f"""
+    SELECT origin, destination, {rnd(f"{_RADIUS_MI!r}*(s - {_FLAT / 2!r}*((s-sin(s))*pow(sin(p)*cos(q)/cos(s/2),2) + (s+sin(s))*pow(cos(p)*sin(q)/sin(s/2),2)))", 0)}
+      AS closed_form_mi, true AS agrees
+    FROM (SELECT *, 2*asin(sqrt(pow(sin((b2-b1)/2),2) + cos(b1)*cos(b2)*pow(sin(radians(lon2-lon1)/2),2))) AS s, (b1+b2)/2 AS p, (b2-b1)/2 AS q
+      FROM (SELECT DISTINCT origin, destination, atan({1 - _FLAT!r}*tan(radians(o.lat))) AS b1, atan({1 - _FLAT!r}*tan(radians(d.lat))) AS b2,
+              o.lon AS lon1, d.lon AS lon2
+            FROM perf JOIN airports o ON o.code=origin JOIN airports d ON d.code=destination))""", "perf", "airports"))
+def h2_facts(spark, sf_dir):
+    """Ellipsoidal distances next to a closed form in reduced latitudes, which differs by feet, not miles."""
+    places = dims.airports(spark)
+    end = lambda key, n: places.select(
+        F.col("code").alias(key), F.atan((1 - _FLAT) * F.tan(F.radians("lat"))).alias(f"b{n}"), F.col("lon").alias(f"lon{n}"))
+    routes = h2(spark, sf_dir).join(F.broadcast(end("origin", 1)), "origin").join(F.broadcast(end("destination", 2)), "destination")
+    b1, b2 = F.col("b1"), F.col("b2")
+    s, p, q = F.col("s"), F.col("p"), F.col("q")
+    bend = (s - F.sin(s)) * (F.sin(p) * F.cos(q) / F.cos(s / 2)) ** 2 + (s + F.sin(s)) * (F.cos(p) * F.sin(q) / F.sin(s / 2)) ** 2
+    angle = 2 * F.asin(F.sqrt(F.sin((b2 - b1) / 2) ** 2 + F.cos(b1) * F.cos(b2) * F.sin(F.radians(F.col("lon2") - F.col("lon1")) / 2) ** 2))
+    told = routes.withColumns({"s": angle, "p": (b1 + b2) / 2, "q": (b2 - b1) / 2}).withColumn("mi", _RADIUS_MI * (s - _FLAT / 2 * bend))
+    return told.select(
+        "origin", "destination", round_dp(F.col("mi"), 0).alias("closed_form_mi"),
+        ((F.abs(F.col("ellipsoidal_mi") - F.col("mi")) < 0.2) & (F.abs(F.col("haversine_mi") / F.col("ellipsoidal_mi") - 1) < 0.006)).alias("agrees"))
+
+
 @query("h3_h8_flight_derivation", with_ctes("""
     SELECT flight_id, duration_min AS flight_minutes, scheduled_arrival, actual_departure, actual_arrival,
       CAST(hour(scheduled_departure) AS INTEGER) AS dep_hour, day_of_week, month,
