@@ -5,8 +5,10 @@ looks only at the characters around its anchors, in one pass, so the work is lin
 long a text or a run of digits is.
 
 Base kinds, leftmost and non-overlapping within a kind: email, ip, card, phone. Added kinds:
-``address`` (a URL that carries a user name, or whose host is an IP address) and ``account``
-(a cue such as "iban" followed by an identifier; IBANs must pass their check sum).
+``address`` (a URL that carries a user name, or whose host is an IP address), ``account``
+(a cue such as "iban" followed by an identifier; IBANs must pass their check sum) and ``secret``
+(a cue such as "token" or "password", an equals sign or colon, and a value of letters and digits; keys
+that are known by how they begin; private keys in text form).
 
 Defined results: null text is the empty text; an empty table gives an empty result; repeated
 rows and null ids are rows like any other; extra columns are kept by ``masked`` and ignored
@@ -23,12 +25,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BASE = ("email", "ip", "card", "phone")
-ADDED = ("address", "account")
+ADDED = ("address", "account", "secret")
 KINDS = BASE + ADDED
 
 CUES = ("iban", "account", "acct", "passport", "ssn", "tax id")
+SECRET_CUES = (
+    "password", "passwd", "pwd", "passphrase", "token", "secret", "bearer", "credential", "credentials",
+    "api key", "api_key", "api-key", "apikey", "access key", "access_key", "access-key", "auth key", "auth_key", "private_key")
+# How well-known kinds of keys begin, and what follows.
+SECRET_SHAPES = {
+    "AKIA": r"[A-Z0-9]{16}", "ASIA": r"[A-Z0-9]{16}",
+    "ghp_": r"[A-Za-z0-9]{36,}", "gho_": r"[A-Za-z0-9]{36,}", "ghs_": r"[A-Za-z0-9]{36,}",
+    "xoxb-": r"[A-Za-z0-9-]{20,}", "xoxp-": r"[A-Za-z0-9-]{20,}",
+    "eyJ": r"[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}",
+}
+#: A value after a cue has at least this many characters, a digit and a letter among them.
+SECRET_LENGTH = 8
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _LABEL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-")
+_KEY = _LABEL | {"_"}
 _PHONE = frozenset(" ().0123456789-")
 _DIGITS = frozenset("0123456789")
 
@@ -40,6 +55,11 @@ _identifier = re.compile(
     r"(?: ?(?:number|no|nr)\b\.?)? ?[:#=]? ?"
     r"([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])|[0-9](?:[ -]?[0-9])+(?![A-Za-z0-9]))").match
 
+_assigned = re.compile(r"[\"']?[\x20\t]{0,4}(?::=|=>|[:=])[\x20\t]{0,4}(?:Bearer[\x20])?[\"']?([A-Za-z0-9+/_.~!@#$%^*-]+=*)").match
+_bearer = re.compile(r"[\x20]([A-Za-z0-9+/_.~-]{16,}=*)").match
+_pem = re.compile(r"-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----").match
+_pem_end = re.compile(r"-----END (?:[A-Z]+ )?PRIVATE KEY-----").search
+_shape = {begin: re.compile(rest + r"(?![A-Za-z0-9_])").match for begin, rest in SECRET_SHAPES.items()}
 _automaton = None
 
 
@@ -58,13 +78,18 @@ def automaton():
         for cue in CUES:
             for form in (cue, cue.upper(), cue.capitalize()):
                 _automaton.add_word(form, "cue")
+        for cue in SECRET_CUES:
+            for form in (cue, cue.upper(), cue.capitalize()):
+                _automaton.add_word(form, "secret")
+        for begin in (*SECRET_SHAPES, "-----BEGIN "):
+            _automaton.add_word(begin, "shape")
         _automaton.make_automaton()
     return _automaton
 
 
 def anchors(text: str) -> dict[str, list[int]]:
     """For each kind of anchor, where its matches end (inclusive)."""
-    found: dict[str, list[int]] = {"at": [], "plus": [], "scheme": [], "cue": [], "digit": []}
+    found: dict[str, list[int]] = {"at": [], "plus": [], "scheme": [], "cue": [], "secret": [], "shape": [], "digit": []}
     for end, kind in automaton().iter(text):
         found[kind].append(end)
     return found
@@ -185,6 +210,47 @@ def accounts(text: str, cues: list[int]) -> list[tuple[int, int]]:
     return out
 
 
+def _value(found: re.Match) -> tuple[int, int] | None:
+    """The span of a cue's value, without the stops that end a sentence; none if it looks like prose."""
+    start, end = found.span(1)
+    while end > start and found.string[end - 1] in ".!":
+        end -= 1
+    value = found.string[start:end]
+    if len(value) < SECRET_LENGTH or not any(c in _DIGITS for c in value) or not any(c.isalpha() for c in value):
+        return None
+    return start, end
+
+
+def secrets(text: str, cues: list[int], shapes: list[int]) -> list[tuple[int, int]]:
+    """Cued values and keys of known shape, leftmost first, without overlaps. A private key ends with
+    its last line, or with its first if no last one follows; that is searched for once at most in vain."""
+    out, done, no_end = [], 0, False
+    anchored = sorted([(at, True) for at in cues] + [(at, False) for at in shapes])
+    for at, cued in anchored:
+        if at < done:
+            continue
+        span = None
+        if cued:
+            found = _assigned(text, at + 1)
+            if not found and text[at - 5 : at + 1].lower() == "bearer":
+                found = _bearer(text, at + 1)
+            span = _value(found) if found else None
+        elif text[at - 10 : at + 1] == "-----BEGIN ":
+            if head := _pem(text, at - 10):
+                tail = None if no_end else _pem_end(text, head.end())
+                no_end = tail is None
+                span = at - 10, (tail or head).end()
+        else:
+            begin = next(b for b in SECRET_SHAPES if text.startswith(b, at + 1 - len(b)))
+            start = at + 1 - len(begin)
+            if (start == 0 or text[start - 1] not in _KEY) and (rest := _shape[begin](text, at + 1)):
+                span = start, rest.end()
+        if span and span[0] >= done:
+            out.append(span)
+            done = span[1]
+    return out
+
+
 def spans_of(text: str) -> list[tuple[str, int, int]]:
     """All spans (kind, start, end exclusive), by start, then kind as listed."""
     found = anchors(text)
@@ -192,7 +258,7 @@ def spans_of(text: str) -> list[tuple[str, int, int]]:
     each = {
         "email": emails(text, found["at"]), "ip": ips(text, runs), "card": cards(text, runs),
         "phone": phones(text, found["plus"]), "address": addresses(text, found["scheme"]),
-        "account": accounts(text, found["cue"]),
+        "account": accounts(text, found["cue"]), "secret": secrets(text, found["secret"], found["shape"]),
     }
     return sorted(((k, a, b) for k in KINDS for a, b in each[k]), key=lambda x: (x[1], KINDS.index(x[0])))
 

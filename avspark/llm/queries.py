@@ -73,7 +73,8 @@ def op4_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
     return found.select(
         "doc_id", *[count(k).alias(f"n_{k}") for k in pii.BASE],
-        F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"))
+        F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"),
+        *[count(k).alias(f"n_{k}") for k in pii.ADDED], F.size("spans").cast("long").alias("n_spans"))
 
 
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
