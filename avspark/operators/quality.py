@@ -69,20 +69,23 @@ def split_parsable(requests: DataFrame, airports: DataFrame) -> tuple[DataFrame,
 
 
 def key_checks(flights: DataFrame, predictions: DataFrame, not_null: list[str]) -> DataFrame:
-    """One row per rule with its number of violations."""
-    duplicates = (
-        flights.groupBy("flight_id").agg(F.count(F.lit(1)).alias("n"))
-        .agg(F.count_if(F.col("n") > 1).alias("violations"))
-        .select(F.lit("flight_id_unique").alias("rule"), "violations")
-    )
-    # All null counts in one scan, then one row per column.
-    counted = flights.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in not_null])
-    nulls = counted.unpivot([], not_null, "column", "violations").select(
-        F.concat("column", F.lit("_not_null")).alias("rule"), "violations"
-    )
-    orphans = (
-        predictions.join(flights.select("flight_id"), "flight_id", "left_anti")
-        .agg(F.count(F.lit(1)).alias("violations"))
-        .select(F.lit("prediction_flight_exists").alias("rule"), "violations")
-    )
-    return duplicates.unionByName(nulls).unionByName(orphans)
+    """One row per rule with its number of violations.
+
+    All rules come from one scan of each table and one grouping by flight id, combined before the
+    shuffle. Null ids are one id that no prediction finds.
+    """
+    nulls = [F.col(c).isNull().cast("bigint").alias(f"_null_{i}") for i, c in enumerate(not_null)]
+    none = [F.lit(0).cast("bigint").alias(f"_null_{i}") for i in range(len(not_null))]
+    one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    rows = flights.select("flight_id", one.alias("_f"), zero.alias("_p"), *nulls).unionByName(
+        predictions.select("flight_id", zero.alias("_f"), one.alias("_p"), *none))
+    counts = ["_f", "_p", *[f"_null_{i}" for i in range(len(not_null))]]
+    by_id = rows.groupBy("flight_id").agg(*[F.sum(c).alias(c) for c in counts])
+    orphan = (F.col("_f") == 0) | F.col("flight_id").isNull()
+    rules = {
+        "flight_id_unique": F.count_if(F.col("_f") > 1),
+        **{f"{c}_not_null": F.sum(f"_null_{i}") for i, c in enumerate(not_null)},
+        "prediction_flight_exists": F.sum(F.when(orphan, F.col("_p"))),
+    }
+    found = by_id.agg(*[F.coalesce(v, zero).alias(rule) for rule, v in rules.items()])
+    return found.unpivot([], list(rules), "rule", "violations")

@@ -1,8 +1,7 @@
-"""Airport weather: hourly timelines, as-of joins, summaries.
+"""Airport weather: as-of joins, summaries.
 
-Reports are first reduced to one row per airport and hour, so every window below holds
-at most one row per hour of the calendar for one of the (at most 50) airports, however
-many raw reports an airport sent.
+Reports are first reduced to one row per airport and hour, however many raw reports an
+airport sent; as-of joins then carry the last one from month to month and within each month.
 """
 
 from __future__ import annotations
@@ -34,58 +33,77 @@ def hourly_reports(reports: DataFrame, *values: str) -> DataFrame:
     return newest.select("airport", F.col("_hour").alias("ts"), *out)
 
 
-def timeline(hourly: DataFrame) -> DataFrame:
-    """One row per hour from each airport's first to last report, filled forward."""
-    following = F.lead("ts").over(Window.partitionBy("airport").orderBy("ts"))
-    one_hour = F.expr("interval 1 hour")
+def _in_force(asked: DataFrame, hourly: DataFrame) -> DataFrame:
+    """(airport, _at, _v): for each airport and hour of ``asked``, the values of its last report so far, or
+    else of its first one.
+
+    Works in two levels. Months are summed up to their last report, and that is carried from month to
+    month; hours asked for and hours reported then meet within a month. There is no row for an hour that
+    is neither, so gaps of years cost nothing; a window holds the months of an airport or the hours of a month.
+    """
+    month = F.date_trunc("month", F.col("_at")).alias("_month")
     values = [c for c in hourly.columns if c not in ("airport", "ts")]
-    spans = hourly.withColumn("_until", F.coalesce(following - one_hour, F.col("ts")))
-    return spans.select(
-        "airport", F.explode(F.sequence("ts", "_until", one_hour)).alias("ts"), *values
-    )
+    reported = hourly.select("airport", F.col("ts").alias("_at"), F.struct(*values).alias("_v"), F.lit(False).alias("_asked"))
+    rows = reported.unionByName(asked.select("airport", "_at", F.lit(True).alias("_asked")), allowMissingColumns=True)
+    rows = rows.groupBy("airport", month, "_at").agg(
+        F.max_by("_v", F.when(F.col("_v").isNotNull(), F.col("_at"))).alias("_v"), F.max("_asked").alias("_asked"))
+
+    report_time = F.when(F.col("_v").isNotNull(), F.col("_at"))
+    months = rows.groupBy("airport", "_month").agg(
+        F.max_by("_v", report_time).alias("_last"), F.min_by("_v", report_time).alias("_first"))
+    by_month = Window.partitionBy("airport").orderBy("_month")
+    before = F.last("_last", ignorenulls=True).over(by_month.rowsBetween(Window.unboundedPreceding, -1))
+    first = F.first("_first", ignorenulls=True).over(by_month.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    carried = months.select("airport", "_month", F.coalesce(before, first).alias("_carried"))
+
+    within = F.last("_v", ignorenulls=True).over(
+        Window.partitionBy("airport", "_month").orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return (
+        rows.withColumn("_v", within).where("_asked").join(carried, ["airport", "_month"])
+        .select("airport", "_at", F.coalesce("_v", "_carried").alias("_v")))
 
 
-def as_of(
-    keys: DataFrame, reports: DataFrame, airports: DataFrame, *,
-    airport: str, ts: str, values: dict[str, str],
+def as_of_ends(
+    keys: DataFrame, reports: DataFrame, airports: DataFrame, *, ts: str, ends: dict[str, dict[str, str]],
 ) -> DataFrame:
-    """Adds the report in force at ``ts``: the hour's own or the last one before it.
+    """Adds the reports in force at ``ts`` at each of several airports of a row.
 
-    Times before an airport's first report take the first, times after its last take
-    the last. Airports without reports give nulls. ``values`` maps report columns to
-    output names.
+    ``ends`` maps an airport column to {report column: output name}. A report is in force from its hour
+    on until the next one. Times before an airport's first report take the first. Unknown airports,
+    airports without reports and null times give nulls.
 
-    The time range per airport is broadcast (it is cut to the fixed airport dimension);
-    the timeline join is an equi join on (airport, hour), for which AQE picks broadcast
-    or a skew-split shuffle from measured sizes.
+    All ends share one lookup, which has a row for each airport and hour that occurs in ``keys``. The
+    keys are combined before they are shuffled for it, so a hot airport is as cheap as others. AQE
+    picks a broadcast or a skew-split shuffle for the equi joins from measured sizes.
     """
-    hourly = hourly_reports(reports, *values)
-    span = (
-        hourly.join(F.broadcast(airports.select(F.col("code").alias("airport"))), "airport", "left_semi")
-        .groupBy(F.col("airport").alias(airport))
-        .agg(F.min("ts").alias("_lo"), F.max("ts").alias("_hi"))
-    )
-    lookup = timeline(hourly).select(
-        F.col("airport").alias(airport), F.col("ts").alias("_at"),
-        *[F.col(c).alias(name) for c, name in values.items()],
-    )
-    clamped = F.greatest(F.col("_lo"), F.least(F.col("_hi"), _hour_of(F.col(ts))))
-    return (
-        keys.join(F.broadcast(span), airport, "left")
-        .withColumn("_at", F.when(F.col(ts).isNotNull(), clamped))
-        .join(lookup, [airport, "_at"], "left")
-        .drop("_lo", "_hi", "_at")
-    )
+    known = airports.select(F.col("code").alias("airport"))
+    values = list(dict.fromkeys(c for names in ends.values() for c in names))
+    hourly = hourly_reports(reports, *values).join(F.broadcast(known), "airport", "left_semi")
+    keys = keys.withColumn("_at", _hour_of(F.col(ts)))
+    asked = (
+        keys.where(F.col("_at").isNotNull())
+        .select("_at", F.explode(F.array_distinct(F.array(*ends))).alias("airport")).distinct()
+        .join(F.broadcast(known), "airport", "left_semi"))
+    lookup = _in_force(asked, hourly)
+    for airport, names in ends.items():
+        side = lookup.select(F.col("airport").alias(airport), "_at", *[F.col(f"_v.{c}").alias(n) for c, n in names.items()])
+        keys = keys.join(side, [airport, "_at"], "left")
+    return keys.drop("_at")
+
+
+def as_of(
+    keys: DataFrame, reports: DataFrame, airports: DataFrame, *,
+    airport: str, ts: str, values: dict[str, str],
+) -> DataFrame:
+    """:func:`as_of_ends` for one airport column; ``values`` maps report columns to output names."""
+    return as_of_ends(keys, reports, airports, ts=ts, ends={airport: values})
 
 
 def flight_weather(flights: DataFrame, reports: DataFrame, airports: DataFrame) -> DataFrame:
     """Impact and conditions at both ends of each flight, as of departure."""
-    for role in ("origin", "destination"):
-        flights = as_of(
-            flights, reports, airports, airport=role, ts="scheduled_departure",
-            values={"weather_impact_score": f"{role}_impact", "conditions": f"{role}_conditions"},
-        )
-    return flights
+    return as_of_ends(flights, reports, airports, ts="scheduled_departure", ends={
+        role: {"weather_impact_score": f"{role}_impact", "conditions": f"{role}_conditions"}
+        for role in ("origin", "destination")})
 
 
 CONDITION_COLUMNS = (

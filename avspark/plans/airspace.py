@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from avspark import dims
 from avspark.functions import flights as ff
 from avspark.functions.numeric import round_dp
+from avspark.ml.features import DEFAULT_WEATHER_SCORE
 from avspark.operators import lookups, routes, sectors, weather
 from avspark.operators.positions import with_coordinates
 from avspark.plans.ctes import fixed, great_circle, haversine, risk, rnd, sector, with_ctes
@@ -91,14 +92,16 @@ _FIELDS = ("temperature_c", "wind_speed_knots", "precipitation_mm_hr", "visibili
 @query("j6_route_weather", with_ctes(f"""
     SELECT r.origin, r.destination,
       {', '.join(f'o.{c} AS origin_{c}, d.{c} AS destination_{c}' for c in _FIELDS)},
-      o.risk_score AS origin_risk, d.risk_score AS destination_risk,
-      greatest(o.risk_score, d.risk_score) AS max_risk_score
+      coalesce(o.risk_score, {DEFAULT_WEATHER_SCORE}::DOUBLE) AS origin_risk,
+      coalesce(d.risk_score, {DEFAULT_WEATHER_SCORE}::DOUBLE) AS destination_risk,
+      greatest(coalesce(o.risk_score, {DEFAULT_WEATHER_SCORE}::DOUBLE), coalesce(d.risk_score, {DEFAULT_WEATHER_SCORE}::DOUBLE))
+        AS max_risk_score
     FROM (SELECT DISTINCT origin, destination FROM perf) r
-    JOIN latest_live o ON o.airport = r.origin JOIN latest_live d ON d.airport = r.destination""",
+    LEFT JOIN latest_live o ON o.airport = r.origin LEFT JOIN latest_live d ON d.airport = r.destination""",
     "perf", "latest_live"))
 def j6(spark, sf_dir):
     routes_ = _flights(spark, sf_dir, "origin", "destination").distinct()
-    both = weather.route_weather(routes_, b.live_weather(spark, sf_dir), _net(spark))
+    both = weather.route_weather(routes_, b.live_weather(spark, sf_dir), _net(spark), DEFAULT_WEATHER_SCORE)
     return both.select(
         "origin", "destination",
         *[F.col(f"{role}_weather.{c}").alias(f"{role}_{c}")

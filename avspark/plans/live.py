@@ -122,14 +122,14 @@ _NEWEST = "(SELECT max(fetched_at) FROM log)"
     "states", log=_LOG))
 def s11(spark, sf_dir):
     log = _log(spark, sf_dir)
-    newest = log.agg(F.max("fetched_at").alias("t")).first()["t"]
+    newest = snapshots.newest_time(log)
     live = snapshots.from_log(log.where(F.col("fetched_at") > newest - 3600))
     fallback = snapshots.from_log(log.where(F.col("fetched_at") > newest - 86400))
     out = None
     for scenario, age, feed in (
         ("fresh", 60, live), ("aged", 180, None), ("aged_live", 180, live), ("lost", 301, None),
     ):
-        part = snapshots.resolve(log, newest + age, feed, fallback).withColumn("scenario", F.lit(scenario))
+        part = snapshots.resolve(log, newest + age, feed, fallback, newest).withColumn("scenario", F.lit(scenario))
         out = part if out is None else out.unionByName(part)
     return out
 

@@ -114,21 +114,37 @@ def age_seconds(log: DataFrame, now: int) -> DataFrame:
     )
 
 
-def resolve(log: DataFrame, now: int, live: DataFrame | None, fallback: DataFrame) -> DataFrame:
-    """States from the best source that has any: fresh log, live, stale log, fallback."""
-    ranked = [
-        ("cache", latest(log, now, dims.CACHE_TTL_S)),
-        ("live", live),
-        ("stale", latest(log, now)),
-        ("fallback", fallback),
-    ]
-    candidates = None
-    for priority, (source, df) in enumerate(ranked):
-        if df is None:
-            continue
-        tagged = df.select(
-            F.lit(priority).alias("priority"), F.lit(source).alias("source"), *_STATE_COLUMNS
-        )
-        candidates = tagged if candidates is None else candidates.unionByName(tagged)
-    best = candidates.agg(F.min("priority")).scalar()
-    return candidates.where(F.col("priority") == best).drop("priority")
+def newest_time(log: DataFrame) -> int | None:
+    """When the newest snapshot was fetched, by one job over that column."""
+    return log.agg(F.max("fetched_at")).first()[0]
+
+
+def chosen_source(newest: int | None, now: int, live: DataFrame | None) -> str:
+    """The best source that has any states: "cache" (a fresh log), "live", "stale" (an older log) or "fallback".
+
+    ``live`` is asked for its first row, and only if the log is not fresh.
+    """
+    age = float("inf") if newest is None else now - newest
+    if age <= dims.CACHE_TTL_S:
+        return "cache"
+    if live is not None and not live.isEmpty():
+        return "live"
+    return "stale" if age <= dims.CACHE_MAX_AGE_S else "fallback"
+
+
+def resolve(
+    log: DataFrame, now: int, live: DataFrame | None, fallback: DataFrame, newest: int | None = None
+) -> DataFrame:
+    """States from the best source that has any, with its name in ``source``.
+
+    The source is chosen first, so that its rows alone are scanned. A caller that knows the log's
+    ``newest`` time saves the job that looks it up.
+    """
+    if newest is None:
+        newest = newest_time(log)
+    source = chosen_source(newest, now, live)
+    if source in ("cache", "stale"):
+        states = from_log(log.where(F.col("fetched_at") == newest))
+    else:
+        states = live if source == "live" else fallback
+    return states.select(F.lit(source).alias("source"), *_STATE_COLUMNS)
