@@ -2,8 +2,8 @@
 
 Texts count as equal when they are identical after each run of ASCII white space became one
 space. Only ids and hashes are grouped, so a hot group costs no more than a cold one; texts
-move only for rows whose hash occurs twice, each to the row that its group keeps. Rows whose
-bytes differ from that row's (hash collisions) are grouped anew by their whole text.
+move only for rows whose hash occurs twice, each to the row that its group keeps; a large group
+meets copies of that row's text in parts of about ``GROUP_ROWS`` rows. Rows whose bytes differ from that row's (hash collisions) are grouped anew by their whole text.
 
 Defined results: null text is the empty text; an empty table gives an empty result; rows that
 repeat an id are rows like any other; a null id sorts after all others, so a group keeps it
@@ -20,6 +20,10 @@ from pyspark.sql import functions as F
 from avspark.llm.common import stored, texts
 
 
+#: About as many rows of a group are compared with the kept row in one place.
+GROUP_ROWS = 500
+
+
 def normalised(text: Column) -> Column:
     """Each run of ASCII white space as one space. A lone space needs no replacement."""
     return F.regexp_replace(text, r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+", " ")
@@ -43,18 +47,23 @@ def exact_groups(docs: DataFrame, hashed: Callable[[Column], Column] = content_h
     groups = stored(
         keyed.groupBy("hash").agg(first, F.count("*").alias("size")).where("size > 1"), "exact-groups")
 
-    # The texts of rows in groups, beside the text of the row that the group keeps.
-    members = keyed.join(groups, "hash").select(
-        "doc_id", "hash", "text_sha256", F.col("keep.doc_id").eqNullSafe(F.col("doc_id")).alias("is_keeper")).distinct()
+    # The texts of rows in groups, beside the text of the row that the group keeps. The join is stored
+    # before rows that repeat an id become one, so that a hot hash can be split in it.
+    parts = F.ceil(F.col("size") / GROUP_ROWS).cast("int")
+    members = stored(keyed.join(groups, "hash").select(
+        "doc_id", "hash", "text_sha256", F.col("keep.doc_id").eqNullSafe(F.col("doc_id")).alias("is_keeper"),
+        parts.alias("parts"), F.pmod(F.xxhash64("doc_id", "text_sha256"), parts).cast("int").alias("part")),
+        "exact-in-groups").distinct()
     found = stored(
         rows.alias("r").join(
             members.alias("m"),
             F.col("r.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.sha2("r.text", 256) == F.col("m.text_sha256")))
         .select("m.*", "r.text"), "exact-members")
     keepers = stored(
-        found.where("is_keeper").groupBy("hash").agg(F.min("text").alias("keep_text")), "exact-keepers")
+        found.where("is_keeper").groupBy("hash").agg(F.min("text").alias("keep_text"), F.max("parts").alias("parts"))
+        .select("hash", "keep_text", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")), "exact-keepers")
     differing = stored(
-        found.join(keepers, "hash").where(F.col("text") != F.col("keep_text"))
+        found.join(keepers, ["hash", "part"]).where(F.col("text") != F.col("keep_text"))
         .select("doc_id", "hash", "text_sha256", "text").distinct(), "exact-collisions")
 
     # Almost always empty: rows that share the hash, not the bytes, of the row kept.
@@ -83,12 +92,12 @@ def without_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, that exact dedup keeps."""
     kept = stored(exact_groups(docs).where("kept").select(
         F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha")), "exact-kept")
-    tagged = docs.withColumns({
-        "__id": F.col("doc_id").cast("long"),
-        "__sha": F.sha2(normalised(F.coalesce(F.col("text").cast("string"), F.lit(""))), 256)})
+    # The table's own columns travel as one struct, so that none can clash with ours.
+    tagged = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own"), F.col("doc_id").cast("long").alias("__id"),
+        F.sha2(normalised(F.coalesce(F.col("text").cast("string"), F.lit(""))), 256).alias("__sha"))
     joined = tagged.alias("t").join(
         kept.alias("k"),
         F.col("t.__id").eqNullSafe(F.col("k.__id")) & (F.col("t.__sha") == F.col("k.__sha")), "left_semi")
-    order = Window.partitionBy("__id", "__sha").orderBy("text")
-    return (joined.withColumn("__n", F.row_number().over(order)).where("__n = 1")
-            .select(*[F.col(c) for c in docs.columns]))
+    order = Window.partitionBy("__id", "__sha").orderBy("own.text")
+    return joined.withColumn("__n", F.row_number().over(order)).where("__n = 1").select("own.*")

@@ -35,6 +35,18 @@ def test_exact_dedup(docs, plain, odd_docs, no_docs):
     assert sorted(same(r.text) for r in kept.collect()) == sorted({same(t) for _, t in ODD})
 
 
+def test_exact_dedup_splits_a_hot_group(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "GROUP_ROWS", 7)
+    rows = [(i if i % 5 else None, "the  same" if i % 10 else f"own {i}") for i in range(200)]
+    hot = spark.createDataFrame(rows, "doc_id long, text string")
+    check_groups(exact_dedup.exact_groups(hot).collect(), rows)
+    check_groups(exact_dedup.exact_groups(hot, lambda t: F.lit("x")).collect(), rows)
+    named = hot.where("doc_id IS NOT NULL").select("doc_id", "text", F.lit(1).alias("__n"), F.lit("a").alias("__id"), F.lit("b").alias("__sha"))
+    kept = exact_dedup.without_copies(named)
+    assert kept.columns == named.columns and {tuple(r)[2:] for r in kept.collect()} == {(1, "a", "b")}
+    assert [r.text for r in kept.collect()] == ["the  same"]
+
+
 def test_exact_dedup_tells_collisions_apart(docs, plain, odd_docs):
     few = lambda t: F.substring(F.md5(t), 1, 1)
     check_groups(exact_dedup.exact_groups(docs, few).collect(), list(plain.items()))
