@@ -7,10 +7,12 @@ third of all reports does not make one hot task.
 
 from __future__ import annotations
 
+from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -45,16 +47,40 @@ def position_stream(events: DataFrame) -> DataFrame:
     )
 
 
+#: Reports that a task remembers; older ones are forgotten and their copies go on to the shuffle.
+SEEN_ROWS = 100_000
+
+
+def _first_seen(keys: list[str], seen_rows: int):
+    """Passes a row on unless its task has passed an equal key among the last ``seen_rows`` ones."""
+
+    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: OrderedDict = OrderedDict()
+        for batch in batches:
+            fresh = []
+            for row in zip(*[batch.column(k).to_pylist() for k in keys], strict=True):
+                fresh.append(row not in seen)
+                seen[row] = None
+                seen.move_to_end(row)
+                if len(seen) > seen_rows:
+                    seen.popitem(last=False)
+            yield batch.filter(pa.array(fresh, pa.bool_()))
+
+    return once
+
+
+def combined_repeats(states: DataFrame, seen_rows: int = SEEN_ROWS) -> DataFrame:
+    """Rows without copies of a report that follow in the same task; a stateless step that loses no report."""
+    return states.mapInArrow(_first_seen(["icao24", "ts"], seen_rows), states.schema)
+
+
 def without_repeats(states: DataFrame, late: str = LATE) -> DataFrame:
     """One row per aircraft and report time; state is dropped behind the watermark.
 
-    Copies are first dropped per source partition, which spreads a report repeated very
-    many times over all tasks; what is left meets in the second step.
+    Copies are first dropped within each task, so that a report repeated very many times reaches
+    the shuffle about once a task; what is left meets in the one stateful step.
     """
-    keys = ["icao24", "ts"]
-    spread = states.withWatermark("ts", late).withColumn("_part", F.spark_partition_id())
-    once_per_part = spread.dropDuplicatesWithinWatermark([*keys, "_part"])
-    return once_per_part.dropDuplicatesWithinWatermark(keys).drop("_part")
+    return combined_repeats(states).withWatermark("ts", late).dropDuplicatesWithinWatermark(["icao24", "ts"])
 
 
 def latest_state(states: DataFrame) -> DataFrame:

@@ -111,6 +111,26 @@ def test_repeats_are_removed_across_batches(spark):
     assert sinks.read_appended(spark, table).count() == 2
 
 
+def test_repeats_are_combined_before_the_shuffle(spark):
+    rows = spark.range(0, 40_000, 1, 4).selectExpr(
+        "if(id % 3 = 0, 'hot', concat('a', id % 50)) AS icao24",
+        "timestamp_seconds(if(id % 3 = 0, 0, id % 7)) AS ts", "id AS event_id")
+    distinct = rows.select("icao24", "ts").distinct().count()
+    assert jobs.combined_repeats(rows).count() <= 4 * distinct
+    # A small memory lets more copies pass and still loses nothing.
+    few = jobs.combined_repeats(rows, 2)
+    assert few.select("icao24", "ts").distinct().count() == distinct and few.count() > 4 * distinct
+    assert jobs.combined_repeats(rows.where("false")).count() == 0
+
+
+def test_repeats_have_one_stateful_step(spark):
+    path = new_path(spark, "plan")
+    a, = in_box_ids(spark, 1)
+    land(events(spark, [(a, 1, 7)]), path)
+    plan = jobs.without_repeats(jobs.position_stream(feed(spark, path)))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("DeduplicateWithinWatermark") == 1 and plan.count("MapInArrow") == 1
+
+
 def test_freshness_transitions(spark):
     ids = in_box_ids(spark, 5)
     path = new_path(spark, "fresh")
