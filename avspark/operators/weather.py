@@ -172,6 +172,13 @@ def with_risk(live: DataFrame) -> DataFrame:
     return live.withColumn("risk_score", fw.risk_score(*[F.col(c) for c in inputs]))
 
 
+def newest_records(live: DataFrame, airports: DataFrame) -> DataFrame:
+    """The newest record of each known airport, with the columns of ``live``: as many rows as airports at most."""
+    newest = live.groupBy("airport").agg(F.max_by(F.struct(*live.columns), F.struct("ts", "event_id")).alias("_r"))
+    known = newest.join(F.broadcast(airports.select(F.col("code").alias("airport"))), "airport", "left_semi")
+    return known.select("_r.*")
+
+
 def latest_live(live: DataFrame, airports: DataFrame) -> DataFrame:
     """Newest record of each known airport as a struct, with its risk."""
     newest = live.groupBy("airport").agg(

@@ -136,7 +136,7 @@ def x7(spark, sf_dir):
           QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY mi, n.ord) = 1) q
     LEFT JOIN latest_live l ON l.airport = code""", "states", "network", "latest_live"))
 def x8(spark, sf_dir):
-    now = weather.latest_live(b.live_weather(spark, sf_dir), dims.airports(spark, dims.NETWORK))
+    now = jobs.static_side(weather.latest_live(b.live_weather(spark, sf_dir), dims.airports(spark, dims.NETWORK)))
     stream = jobs.with_airport_risk(_positions(spark, sf_dir), now).select(
         "event_id", "ts", "icao24", "nearest_airport",
         round_dp(F.col("nearest_mi"), 1).alias("nearest_mi"), "risk_score")
@@ -161,8 +161,9 @@ def _request_stream(events):
 @query("x8_stream_predictions")
 def x8_predictions(spark, sf_dir):
     asked = _request_stream(jobs.event_stream(spark, sf_dir, "events.parquet"))
-    scored = predict.predict_delays(
-        asked, b.live_weather(spark, sf_dir), dims.airports(spark), _models(spark, sf_dir))
+    airports = dims.airports(spark)
+    now = jobs.static_side(weather.newest_records(b.live_weather(spark, sf_dir), airports))
+    scored = predict.predict_delays(asked, now, airports, _models(spark, sf_dir))
     return sinks.read_appended(spark, _run(spark, scored, "x8-predictions"))
 
 

@@ -19,7 +19,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from avspark import dims, schemas
 from avspark.functions import geo, positions
-from avspark.session import pin_utc
+from avspark.session import new_path, pin_utc
 from avspark.sources.bindings import positions_from_events
 from avspark.streaming import legs
 
@@ -39,6 +39,17 @@ def event_stream(spark: SparkSession, folder: str, table: str | None = None, fil
     return reader.parquet(source)
 
 
+def static_side(table: DataFrame) -> DataFrame:
+    """A small table that a stream joins, stored once when the stream is built.
+
+    Batches then read its few rows, not the data that it was made from. It stays as it was at that
+    time: a stream that should see newer rows is started anew from its checkpoint.
+    """
+    path = new_path(table.sparkSession, "static-side")
+    table.coalesce(1).write.parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)
+
+
 def position_stream(events: DataFrame) -> DataFrame:
     """Decoded positions with coordinates, inside the live box. Stateless."""
     states = positions_from_events(events).drop("baro_altitude", "geo_altitude")

@@ -6,6 +6,8 @@ import random
 from avspark import dims
 from avspark.operators import weather
 from avspark.plans import catalog
+from avspark.sources import bindings
+from avspark.streaming import jobs
 
 T0 = dt.datetime(2019, 1, 1)
 
@@ -65,3 +67,11 @@ def test_sources_and_key_checks_scan_once(spark, sf_dir):
     assert _plan(spark, sf_dir, "s11_source_resolution").count("Relation ") <= 4
     checks = _plan(spark, sf_dir, "s15_key_checks")
     assert checks.count("Aggregate [flight_id") == 1, checks
+
+
+def test_stored_records_give_the_same_weather(spark, sf_dir):
+    live, airports = bindings.live_weather(spark, sf_dir), dims.airports(spark)
+    few = jobs.static_side(weather.newest_records(live, airports))
+    assert few.columns == live.columns and 0 < few.count() <= 50
+    rows = lambda df: sorted(map(str, weather.latest_live(df, airports).collect()))
+    assert rows(few) == rows(live)
