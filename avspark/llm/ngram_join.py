@@ -8,6 +8,14 @@ differ in at most k2 features, and each part into n2 smaller ones, of which all
 there: a signature for each part and each choice of n2 - k2 of its smaller parts. Sets that
 are similar enough share a signature for certain; then the sets themselves are compared.
 
+Sets that are similar enough agree in more than one cell, by a number that the band fixes, so
+each set may leave out as many of its signatures: the most frequent ones in an order that is
+the same for all (as a prefix filter does), such as those of passages that many documents
+share, or of empty cells. Frequencies are counted by hash in FREQUENCIES counters, a table of
+fixed size; counters only decide the order, and into how many parts a signature that many
+sets share is dealt, never what is found. Signatures have 48 bits, the number of the part
+stands above them.
+
 Equal sets are one class, represented by its smallest id. Sets that share a signature are not
 compared pairwise: each is compared with one of them, links are joined into components, and
 this is repeated with other sets while it finds links. Only sets that are then still in
@@ -29,7 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from avspark.llm.common import slices, stored, texts
@@ -39,6 +47,11 @@ SKETCH_BITS = 512
 _SKETCH = [f"s{i}" for i in range(SKETCH_BITS // 64)]
 #: The same, longer, made only for sets of pairs: long sets differ in more bits than the other has.
 WIDE_BITS = 4096
+#: Counters of signature frequencies, sent to every task; a signature in more than PART_ROWS sets is dealt into parts.
+FREQUENCIES = 1 << 17
+PART_ROWS = 1 << 17
+SIGNATURE_BITS = 48
+_BLOCK = 1 << 10
 _SMALL = 64
 _SLICE = 2 << 20
 
@@ -139,23 +152,23 @@ class PartEnum:
         return 2 * (self.low[band + 1] - 1) * (100 - self.percent) // (100 + self.percent)
 
     def parts(self, band: int) -> tuple[int, int, int, int]:
-        """n1, n2, k2, and how many empty projections a set may leave out.
+        """n1, n2, k2, and how many signatures a set may leave out.
 
         With two smaller parts each, a signature is one of 2 * n1 cells, and at least
-        2 * n1 - k of them agree. Of a set with no more empty cells than 2 * n1 - k - 1, a cell
-        that is not empty agrees, so its empty ones, which would be alike for many sets, are
-        not needed. Sets with more empty cells find each other by those.
+        2 * n1 - k of them agree. If all sets leave out the last 2 * n1 - k - 1 in one order,
+        similar sets still share one: of the cells that agree, the first one in that order is
+        among those that both keep.
         """
         k = self.most_different(band)
         if not k:
             return 1, 1, 0, 0
         if self.low[band] < _SMALL:
             return -(-(k + 1) // 2), 3, min(k, 1), 0
-        n1 = -(-(k + 1 + k // 12) // 2)
+        n1 = -(-(k + 1 + k // 4) // 2)
         return n1, 2, 1, 2 * n1 - k - 1
 
-    def signatures(self, feature: np.ndarray) -> np.ndarray:
-        """All signatures of a set that is not empty, as int64."""
+    def signatures(self, feature: np.ndarray, frequency: np.ndarray | None = None) -> np.ndarray:
+        """All signatures of a set that is not empty, or those that it keeps by ``frequency``."""
         out = []
         for band in self.bands(len(feature)):
             n1, n2, k2, spare = self.parts(band)
@@ -167,34 +180,79 @@ class PartEnum:
             # k2 is 0 or 1: a choice of n2 - k2 smaller parts leaves out none or one of them.
             kept = total[:, None] - sums if k2 else total[:, None]
             name = np.arange(kept.size, dtype=np.uint64).reshape(kept.shape) + _u(band << 40)
-            marks = mix(mix(kept, 13) + mix(name, 14)).ravel()
-            if spare:
-                empty = (np.bincount(cell, minlength=n1 * n2) == 0).reshape(n1, n2)[:, ::-1].ravel()
-                if empty.sum() <= spare:
-                    marks = marks[~empty]
+            marks = (mix(mix(kept, 13) + mix(name, 14)).ravel() >> _u(16)).view(np.int64)
+            if spare and frequency is not None:
+                marks = marks[np.lexsort((marks, frequency[marks % FREQUENCIES]))[: len(marks) - spare]]
             out.append(marks)
-        return np.concatenate(out).view(np.int64)
+        return np.concatenate(out)
+
 
+def measured(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """doc_id, size, set_a, set_b (128-bit hash of the set), the sketch; and frequencies.
 
-def signed(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """doc_id, size, set_a, set_b (128-bit hash of the set), the sketch, signatures."""
+    A task's frequencies follow in rows of their own: ``block`` (else null) and ``counts``.
+    """
+    sketch = [pa.field(c, pa.int64()) for c in _SKETCH]
+    schema = pa.schema([pa.field(c, pa.int64()) for c in ("doc_id", "size", "set_a", "set_b")] + sketch
+                       + [pa.field("block", pa.int64()), pa.field("counts", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         method = PartEnum(percent)
+        seen = np.zeros(FREQUENCIES, np.int64)
         for batch in slices(batches, size=_SLICE):
             sets = features(batch.column("text"), n)
+            marks = [method.signatures(s) for s in sets if len(s)]
+            if marks:
+                np.add.at(seen, np.concatenate(marks) % FREQUENCIES, 1)
             total = lambda salt: pa.array(np.array([mix(s, salt).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64))
-            marks = [method.signatures(s) if len(s) else np.empty(0, np.int64) for s in sets]
-            cuts = np.concatenate([[0], np.cumsum([len(m) for m in marks])]).astype(np.int32)
-            sketch = np.stack([parity(s, SKETCH_BITS) for s in sets])
+            bits = np.stack([parity(s, SKETCH_BITS) for s in sets])
+            none = [pa.nulls(len(sets), schema.field(c).type) for c in ("block", "counts")]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), total(21), total(22),
-                 *(pa.array(np.ascontiguousarray(column)) for column in sketch.T),
-                 pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.concatenate(marks)))],
-                ["doc_id", "size", "set_a", "set_b", *_SKETCH, "signatures"])
+                 *(pa.array(np.ascontiguousarray(column)) for column in bits.T), *none], schema=schema)
+        blocks = seen.reshape(-1, _BLOCK)
+        there = np.flatnonzero(blocks.any(1))
+        none = [pa.nulls(len(there), pa.int64()) for _ in range(4 + len(_SKETCH))]
+        yield pa.RecordBatch.from_arrays(
+            [*none, pa.array(there), pa.array([b.tolist() for b in blocks[there]], pa.list_(pa.int64()))], schema=schema)
+
+    columns = ", ".join(f"{c} long" for c in ("doc_id", "size", "set_a", "set_b", *_SKETCH, "block"))
+    return texts(docs).mapInArrow(run, f"{columns}, counts array<long>")
+
+
+def _frequency_of(rows: DataFrame) -> np.ndarray:
+    """The FREQUENCIES counters, summed over the tasks of ``measured``."""
+    summed = (rows.where("block is not null").select("block", F.posexplode("counts").alias("at", "n")).where("n > 0")
+              .groupBy((F.col("block") * _BLOCK + F.col("at")).alias("bucket")).agg(F.sum("n").alias("n")).toArrow())
+    out = np.zeros(FREQUENCIES, np.int64)
+    out[summed.column("bucket").to_numpy()] = summed.column("n").to_numpy()
+    return out
+
+
+def signed(docs: DataFrame, frequency: np.ndarray, n: int, percent: int, part_rows: int = PART_ROWS) -> DataFrame:
+    """id and the signatures it keeps, each with the number of its part above SIGNATURE_BITS."""
+    shared = docs.sparkSession.sparkContext.broadcast(frequency)
 
-    sketch = "".join(f"{c} long, " for c in _SKETCH)
-    return texts(docs).mapInArrow(run, f"doc_id long, size long, set_a long, set_b long, {sketch}signatures array<long>")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        method, often = PartEnum(percent), shared.value
+        deal = np.minimum(often // part_rows, (1 << 14) - 1)
+        for batch in slices(batches, size=_SLICE):
+            batch = batch.filter(batch.column("doc_id").is_valid())
+            sets = features(batch.column("text"), n) if batch.num_rows else []
+            marks = [method.signatures(s, often) if len(s) else np.empty(0, np.int64) for s in sets]
+            if not marks:
+                continue
+            sizes = [len(m) for m in marks]
+            every = np.concatenate(marks)
+            parts = deal[every % FREQUENCIES]
+            of = mix(np.repeat(batch.column("doc_id").to_numpy().astype(np.int64).view(np.uint64), sizes), 41)
+            part = np.where(parts > 0, (of % (parts + 1).astype(np.uint64)).astype(np.int64) + 1, 0)
+            cuts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(cuts), pa.array(every + (part << SIGNATURE_BITS)))],
+                ["id", "keys"])
+
+    return texts(docs).mapInArrow(run, "id long, keys array<long>")
 
 
 def may_be_similar(a: str, b: str, percent: int) -> Column:
@@ -265,9 +323,11 @@ def verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFra
     return pairs.join(left, "a").join(right, "b").where(100 * common_n >= percent * union).select("a", "b").distinct()
 
 
-def linked(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
+def linked(docs: DataFrame, n: int = 3, percent: int = 90, part_rows: int = PART_ROWS) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id."""
-    rows = stored(signed(docs, n, percent), "signed")
+    measures = stored(measured(docs, n, percent), "measured")
+    frequency = _frequency_of(measures)
+    rows = measures.where("block is null")
     classes = stored(
         rows.where("size > 0 and doc_id is not null").groupBy("size", "set_a", "set_b")
         .agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies")).where("copies > 1"), "set-classes")
@@ -275,46 +335,58 @@ def linked(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
         rows.where("size > 0 and doc_id is not null").join(classes, ["size", "set_a", "set_b"])
         .select("doc_id", "first_id"), "set-members")
     copies = of_class.where("doc_id <> first_id").select("doc_id").distinct()
-    marks = (rows.where("size > 0").join(copies, "doc_id", "left_anti")
-             .select(F.col("doc_id").alias("id"), F.explode("signatures").alias("signature")))
-
     sketch = rows.where("size > 0").select(F.col("doc_id").alias("id"), F.struct("size", *_SKETCH).alias("bound"))
-    shared = stored(
-        marks.groupBy("signature").agg(F.min("id").alias("a"), F.max("id").alias("b"), F.count("*").alias("members"))
-        .where("a < b"), "shared-signatures")
-    members = marks.join(shared.where("members > 2").select("signature", "a"), "signature").select("signature", "id", "a").distinct()
-    members = stored(members.join(sketch, "id"), "members")
-    pairs = shared.where("members = 2").select("a", "b").union(members.where("id <> a").select("a", F.col("id").alias("b"))).distinct()
-    pairs = (pairs.join(sketch.select(F.col("id").alias("a"), F.col("bound").alias("of_a")), "a")
-             .join(sketch.select(F.col("id").alias("b"), F.col("bound").alias("of_b")), "b")
-             .where(may_be_similar("of_a", "of_b", percent)).select("a", "b").distinct())
-    pairs = stored(pairs, "pairs")
+
+    # The only time that all signatures move: those that no other set has end here.
+    marks = signed(docs, frequency, n, percent, part_rows).join(copies.withColumnRenamed("doc_id", "id"), "id", "left_anti")
+    run = Window.partitionBy("key").orderBy("id")
+    members = (marks.select("id", F.explode("keys").alias("key"))
+               .select("key", "id", F.first("id").over(run.rowsBetween(Window.unboundedPreceding, 0)).alias("a"),
+                       F.lead("id").over(run).alias("next"))
+               .where(f"a < id or next > id or key >= {1 << SIGNATURE_BITS}"))
+    signature = F.col("key").bitwiseAND(F.lit((1 << SIGNATURE_BITS) - 1)).alias("signature")
+    members = stored(members.select(signature, (F.col("key") >= 1 << SIGNATURE_BITS).alias("dealt"), "id", "a"), "members")
+    # A signature dealt into parts: the first sets of its parts meet the first of all.
+    parts = members.where("dealt").groupBy("signature", "a").agg(F.lit(1).alias("one"))
+    heads = parts.groupBy("signature").agg(F.min("a").alias("head"))
+    across = parts.join(heads, "signature").where("a <> head").select(F.col("head").alias("a"), F.col("a").alias("b"))
+
+    def bounded(pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b, ...) that sizes and sketches allow."""
+        return (pairs.join(sketch.select(F.col("id").alias("a"), F.col("bound").alias("of_a")), "a")
+                .join(sketch.select(F.col("id").alias("b"), F.col("bound").alias("of_b")), "b")
+                .where(may_be_similar("of_a", "of_b", percent)).select(*pairs.columns))
+
+    pairs = members.where("id <> a").select("a", F.col("id").alias("b")).union(across).distinct()
+    pairs = stored(bounded(pairs).distinct(), "pairs")
     tried = pairs
     labels = stored(components(verified(pairs, docs, n, percent)), "components")
+    members = members.select("signature", "id")
 
     turn, last = 0, False
     while True:
-        named = members.select("signature", "id", "bound").join(labels, "id", "left").select(
-            "signature", "id", "bound", F.coalesce("component", "id").alias("component"))
+        named = members.join(labels, "id", "left").select(
+            "signature", "id", F.coalesce("component", "id").alias("component"))
         named = stored(named, "named-members")
         split = stored(
             named.groupBy("signature").agg(
                 F.min("component").alias("low"), F.max("component").alias("high"),
                 F.min_by("id", F.xxhash64("id", F.lit(turn))).alias("star"))
             .where("low < high").select("signature", "star"), "split-signatures")
-        members = named.join(split.select("signature"), "signature", "left_semi")
-        other = members.select("signature", F.col("id").alias("b"), F.col("component").alias("to"), F.col("bound").alias("of_b"))
-        own = members.select("signature", F.col("id").alias("a"), F.col("component").alias("at"), F.col("bound").alias("of_a"))
+        members = named.join(split, "signature")
         if last:
-            pairs = own.join(other, "signature").where(F.col("a") < F.col("b"))
+            # Sizes and sketches are tested as pairs are made.
+            members = stored(members.join(sketch, "id"), "last-members")
+            own = members.select("signature", F.col("id").alias("a"), F.col("component").alias("at"), F.col("bound").alias("of_a"))
+            other = members.select("signature", F.col("id").alias("b"), F.col("component").alias("to"), F.col("bound").alias("of_b"))
+            pairs = own.join(other, "signature").where((F.col("a") < F.col("b")) & may_be_similar("of_a", "of_b", percent))
         else:
-            star = stored(other.join(split, (other["signature"] == split["signature"]) & (F.col("b") == F.col("star")))
-                          .select(other["signature"], "b", "to", "of_b"), "stars")
-            pairs = own.join(star, "signature")
-        pairs = (pairs.where((F.col("at") != F.col("to")) & may_be_similar("of_a", "of_b", percent))
+            star = members.where("id = star").select("signature", F.col("id").alias("b"), F.col("component").alias("to")).distinct()
+            pairs = members.select("signature", F.col("id").alias("a"), F.col("component").alias("at")).join(star, "signature")
+        pairs = (pairs.where(F.col("at") != F.col("to"))
                  .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.least("at", "to").alias("at"), F.greatest("at", "to").alias("to"))
                  .distinct().join(tried, ["a", "b"], "left_anti"))
-        pairs = stored(pairs, "pairs")
+        pairs = stored(pairs if last else bounded(pairs), "pairs")
         tested = pairs.count()
         found = 0
         if tested:
@@ -330,7 +402,7 @@ def linked(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
             break
         tried = tried.union(pairs.select("a", "b"))
         turn, last = turn + 1, found * 20 <= tested
-        members = named
+        members = members.select("signature", "id")
 
     first = F.coalesce("first_id", "doc_id")
     # A class's members are at most as many as its copies; joins are between stored tables.

@@ -71,6 +71,12 @@ def test_similar_sets_share_a_signature(percent):
         shared = len(set(a.tolist()) & set(b.tolist()))
         if 100 * shared >= percent * (len(a) + len(b) - shared):
             assert np.intersect1d(method.signatures(a), method.signatures(b)).size
+            # Also by what is left when the most frequent ones, in whatever order, are left out.
+            often = np.random.default_rng(size).integers(0, 5, ngram_join.FREQUENCIES)
+            kept = [method.signatures(x, often) for x in (a, b)]
+            assert np.intersect1d(*kept).size
+            spare = sum(method.parts(band)[3] for band in method.bands(size))
+            assert len(kept[0]) == len(method.signatures(a)) - spare
 
 
 def test_components(spark):
@@ -96,6 +102,23 @@ def test_near_copies_of_each_other(spark):
     assert sorted(map(tuple, got.collect()), key=str) == want_components(rows, 3, 90)
 
 
+def test_shared_passage_and_dealt_signatures(spark):
+    """A passage that most texts hold links none of them; copies stay found when signatures are dealt into parts."""
+    rng = random.Random(4)
+    passage = [f"p{i}" for i in range(60)]
+    rows = []
+    for i in range(150):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(rng.choice([5, 60, 200]))]
+        rows.append((2 * i, " ".join(words[:3] + passage + words[3:])))
+        if i % 3 == 0:
+            words[-1] = "changed"
+            rows.append((2 * i + 1, " ".join(words[:3] + passage + words[3:])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = want_components(rows, 3, 90)
+    for part_rows in (ngram_join.PART_ROWS, 3):
+        assert sorted(map(tuple, ngram_join.linked(docs, part_rows=part_rows).collect()), key=str) == want
+
+
 def test_odd_rows(odd_docs, no_docs):
     got = sorted(map(tuple, ngram_join.linked(odd_docs).collect()), key=str)
     want = want_components([(d, t) for d, t in ODD], 3, 90)
