@@ -316,11 +316,12 @@ def verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFra
     pairs = stored(
         pairs.join(small("a"), "a").join(small("b"), "b")
         .where(differ * (100 + percent) <= both * (100 - percent)).select("a", "b").distinct(), "likely-pairs")
-    left = sets.select(F.col("id").alias("a"), F.col("features").alias("of_a"))
-    right = sets.select(F.col("id").alias("b"), F.col("features").alias("of_b"))
+    # Of the sets, which may be long, only those of likely pairs move.
+    of = lambda k: (sets.select(F.col("id").alias(k), F.col("features").alias(f"of_{k}"))
+                    .join(pairs.select(k).distinct(), k, "left_semi"))
     common_n = F.size(F.array_intersect("of_a", "of_b"))
     union = F.size("of_a") + F.size("of_b") - common_n
-    return pairs.join(left, "a").join(right, "b").where(100 * common_n >= percent * union).select("a", "b").distinct()
+    return pairs.join(of("a"), "a").join(of("b"), "b").where(100 * common_n >= percent * union).select("a", "b").distinct()
 
 
 def linked(docs: DataFrame, n: int = 3, percent: int = 90, part_rows: int = PART_ROWS) -> DataFrame:
