@@ -193,3 +193,24 @@ def test_every_request_is_answered(spark):
     assert "wind 0 kn" in found[2].weather_summary
     assert found[3].errors == "origin_unknown" and found[3].blended_probability is None
     assert "destination_format" in found[4].errors
+
+
+def test_fitting_rows_are_dealt_by_their_number_and_stand_next_to_like_ones(spark):
+    rows = spark.range(3000).selectExpr("CAST(pmod(hash(id), 7) AS INT) AS kind", "CAST(id AS STRING) AS flight_id")
+    dealt = md._dealt(rows, 3000, ["kind", "flight_id"])
+    parts = dealt.rdd.glom().collect()
+    assert len(parts) == 1 and sorted(parts[0]) == parts[0] and len(parts[0]) == 3000
+    assert md._dealt(rows, 40 * md.TASK_ROWS[1], ["kind", "flight_id"]).rdd.getNumPartitions() == 40
+
+
+def test_rows_with_the_same_inputs_are_scored_once(features, models, monkeypatch):
+    scored = []
+    answers = md._answers
+    monkeypatch.setattr(md, "_answers", lambda rows, *more: scored.append(rows) or answers(rows, *more))
+    rows = features.limit(50).cache()
+    thrice = rows.union(rows).union(rows)
+    found = md.score(thrice, models)
+    assert found.columns[: len(features.columns)] == features.columns
+    assert scored[0].count() == rows.select(*ft.FEATURES).distinct().count()
+    each = [r for r in answers(rows, models, rows.columns, True).collect() for _ in range(3)]
+    assert sorted(map(str, found.collect())) == sorted(map(str, each))
