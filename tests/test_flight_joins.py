@@ -5,6 +5,8 @@ import datetime
 import pytest
 
 from avspark import dims, schemas
+from avspark.plans import catalog
+from avspark.plans import flights as plans
 from avspark.sources import bindings
 
 _DAY = datetime.datetime(1995, 2, 3)
@@ -46,3 +48,11 @@ def test_line_items_do_not_move_to_the_customers(spark, made):
     joins = [line for line in text.splitlines() if "Join LeftOuter" in line]
     depth = {key: next(line for line in joins if key in line).index("Join") for key in ("o_custkey", "l_orderkey")}
     assert depth["o_custkey"] > depth["l_orderkey"]
+
+
+def test_loads_read_derived_flights(spark, made, monkeypatch):
+    read = []
+    load = plans.files.append_missing
+    monkeypatch.setattr(plans.files, "append_missing", lambda source, *more: (read.extend(source.inputFiles()), load(source, *more)))
+    assert catalog.QUERIES["s5_j9_load_missing"](spark, made).count() == 6
+    assert read and not [f for f in read if "lineitem" in f]
