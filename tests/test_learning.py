@@ -6,7 +6,9 @@ import shutil
 
 import numpy as np
 import pytest
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
 from avspark import dims
@@ -214,3 +216,20 @@ def test_rows_with_the_same_inputs_are_scored_once(features, models, monkeypatch
     assert scored[0].count() == rows.select(*ft.FEATURES).distinct().count()
     each = [r for r in answers(rows, models, rows.columns, True).collect() for _ in range(3)]
     assert sorted(map(str, found.collect())) == sorted(map(str, each))
+
+
+def test_rows_are_not_walked_from_the_roots_in_each_pass(models, features):
+    regressor, classifier = models.pipeline.stages[1:]
+    assert regressor.getCacheNodeIds() and classifier.getCacheNodeIds()
+
+
+def test_kept_places_change_no_tree(spark, features):
+    rows = VectorAssembler(inputCols=list(ft.FEATURES), outputCol="features").transform(features.limit(2000)).select(
+        "features", F.col("delay_minutes").cast("double"), F.col("is_delayed").cast("double")).repartition(2).cache()
+    regressor = lambda **how: RandomForestRegressor(
+        labelCol="delay_minutes", numTrees=5, maxDepth=6, minInstancesPerNode=3, featureSubsetStrategy="all", seed=7, **how).fit(rows)
+    classifier = lambda **how: RandomForestClassifier(
+        labelCol="is_delayed", numTrees=5, maxDepth=6, minInstancesPerNode=3, featureSubsetStrategy="sqrt", seed=7, **how).fit(rows)
+    for fit in (regressor, classifier):
+        told = lambda model: model.toDebugString.split("\n", 1)[1]
+        assert told(fit()) == told(fit(**md._PLACES))
