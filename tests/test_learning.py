@@ -233,3 +233,39 @@ def test_kept_places_change_no_tree(spark, features):
     for fit in (regressor, classifier):
         told = lambda model: model.toDebugString.split("\n", 1)[1]
         assert told(fit()) == told(fit(**md._PLACES))
+
+
+def test_a_forest_is_fitted_in_parts_where_rows_fill_the_cores(spark, features, monkeypatch):
+    """All trees and all rows, and the parts answer as one forest, also when loaded again."""
+    monkeypatch.setattr(md, "TASK_ROWS", (10, 1000))
+    monkeypatch.setattr(md, "PART_TREES", 4)
+    cores = spark.sparkContext.defaultParallelism
+    assert md._part_trees(cores * 10, 10, cores) == [10]
+    assert md._part_trees(cores * 10 + 1, 10, cores) == [4, 3, 3]
+    rows = features.limit(1500).withColumn("delay_minutes", F.pmod(F.hash("flight_id"), F.lit(60)).cast("double")).withColumn(
+        "is_delayed", (F.col("delay_minutes") >= 15).cast("int")).cache()
+    counts = []
+    fit_and_save = md._fit_and_save
+    monkeypatch.setattr(md, "_fit_and_save", lambda e, rows, path: counts.append((rows.count(), rows.rdd.getNumPartitions())) or fit_and_save(e, rows, path))
+    path = new_path(spark, "parts")
+    fitted = md.load_or_train(rows, path, trees=10, regressor_depth=5, classifier_depth=4)
+    assert counts == [(1500, 2)] * 6
+    assert [p.getNumTrees for p in fitted.regressors] == [p.getNumTrees for p in fitted.classifiers] == [4, 3, 3]
+    trees = [t.toDebugString.split("\n", 1)[1] for t in fitted.regressor.trees]
+    assert len(set(trees)) == len(trees) == 10  # other draws in each part
+    assert sum(fitted.importances.values()) == pytest.approx(1.0)
+
+    some = rows.orderBy("flight_id").limit(40)
+    got = {r.flight_id: r for r in md.score(some, fitted, rounded=False).collect()}
+    for row in VectorAssembler(inputCols=list(ft.FEATURES), outputCol="f").transform(some).collect():
+        each = [t.predict(row.f) for t in fitted.regressor.trees]
+        votes = sum(np.array(p.predictRaw(row.f).toArray()) for p in fitted.classifiers)
+        found = got[row.flight_id]
+        low, high = np.percentile(each, [10, 90])
+        assert (found.predicted_delay_minutes, found.ci_low, found.ci_high) == pytest.approx((max(0, np.mean(each)), max(0, low), high))
+        assert found.delay_probability == pytest.approx(votes[1] / votes.sum())
+        assert found.delayed_predicted == (found.delay_probability > 0.5)
+    monkeypatch.setattr(md, "train", None)   # calling it would fail
+    again = md.load_or_train(rows, path, trees=10, regressor_depth=5, classifier_depth=4)
+    assert {r.flight_id: r for r in md.score(some, again, rounded=False).collect()} == got
+    assert again.importances == fitted.importances
