@@ -3,12 +3,14 @@
 import datetime as dt
 import random
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from avspark.session import new_path, state_session
 from avspark.streaming import jobs, sinks
-from avspark.streaming.legs import advance
+from avspark.streaming.legs import _LAYOUT, BLOCK, LegTracker, advance, blocks, in_order
 
 T0 = dt.datetime(2024, 1, 1)
 SCHEMA = "icao24 string, ts timestamp, event_id long, on_ground boolean, altitude_m double"
@@ -84,3 +86,65 @@ def test_callers_session_stays_as_it_is(spark):
     finally:
         spark.conf.set(key, before)
     assert spark.range(1).select(F.lit(1)).count() == 1
+
+
+def test_blocks_hold_all_reports_in_order():
+    n = 2 * BLOCK + 5
+    reports = np.array([((7919 * i) % 1000, i, i % 3 == 0, np.nan if i % 5 == 0 else i / 2) for i in range(n)], _LAYOUT)
+    stored = blocks(reports)
+    assert len(stored) == 3
+    back = in_order([np.frombuffer(b, _LAYOUT) for b, in stored])
+    assert [r[:2] for r in back.tolist()] == sorted(r[:2] for r in reports.tolist())
+    assert len(in_order([])) == 0 and blocks(reports[:0]) == []
+
+
+class Kept:
+    """A state variable or the handle, counting what goes to Spark."""
+
+    def __init__(self):
+        self.value, self.elements, self.timers, self.calls = None, [], [], 0
+
+    def get(self):
+        return self.value if self.value is not None or not self.elements else iter(self.elements)
+
+    def update(self, value):
+        self.value = value
+
+    def appendList(self, new):
+        self.elements += new
+        self.calls += len(new)
+
+    put = appendList
+
+    def clear(self):
+        self.elements = []
+
+    def registerTimer(self, at):
+        assert at not in self.timers
+        self.timers.append(at)
+
+    def deleteTimer(self, at):
+        self.timers.remove(at)
+
+
+def test_reports_of_a_batch_are_few_messages_and_one_timer_is_set():
+    tracker = LegTracker(1800)
+    tracker.waiting, tracker.known, tracker.handle = Kept(), Kept(), Kept()
+    feed = lambda at: pd.DataFrame({
+        "ts_us": [m * 60_000_000 for m in at], "event_id": range(len(at)), "airborne": True, "altitude_m": 1.0})
+    rows = pd.concat(tracker.handleInputRows(("a",), iter([feed(range(100, 3100)), feed(range(3100, 5100))]), None))
+    assert tracker.waiting.calls == 1 and len(rows) == 1 and rows["reports"].tolist() == [5000]
+    assert tracker.handle.timers == [100 * 60_000]
+    list(tracker.handleInputRows(("a",), iter([feed([90])]), None))
+    assert tracker.waiting.calls == 2 and tracker.handle.timers == [90 * 60_000]
+
+    class Mark:
+        getCurrentWatermarkInMs = staticmethod(lambda: 5000 * 60_000)
+
+    tracker.handle.timers = []  # the engine takes the timer that went off
+    tracker.waiting.calls = 0
+    elements, tracker.waiting.elements = tracker.waiting.elements, []
+    tracker.waiting.get = lambda: iter(elements)
+    rows = pd.concat(tracker.handleExpiredTimer(("a",), Mark, None))
+    assert tracker.waiting.calls == 1 and tracker.handle.timers == [5000 * 60_000]
+    assert rows["reports"].tolist() == [5001] and rows["is_open"].tolist() == [True]
