@@ -62,29 +62,62 @@ def merge(piece: bytes, ranks: dict[bytes, int], queue: RankQueue) -> list[int]:
     if whole is not None:
         return [whole]
     n = len(piece)
+    get = ranks.get
+    # The queue's own steps, written out: they run several times for each byte, calls would cost as much again.
+    bucket, low, top = queue.bucket, queue.low, queue.top
     end = list(range(1, n + 1))  # where the part that begins here ends
     before = list(range(-1, n - 1))  # where the part before it begins
-    rank_at: list[int | None] = [None] * n  # rank of this part joined with the next
-    push, pop = queue.push, queue.pop
-    changed = range(n - 1)
-    while True:
-        for i in changed:
-            j = end[i]
-            rank_at[i] = rank = ranks.get(piece[i : end[j]]) if j < n else None
-            if rank is not None:
-                push(rank, i)
-        while (found := pop()) is not None:
-            rank, i = found
-            if rank_at[i] == rank:  # otherwise stale
-                break
+    rank_at: list[int | None] = [get(piece[i : i + 2]) for i in range(n - 1)]  # rank of this part joined with the next
+    rank_at.append(None)
+    for i, rank in enumerate(rank_at):
+        if rank is not None:
+            held = bucket[rank]
+            if not held:
+                low[rank >> 8] |= 1 << (rank & 255)
+                top |= 1 << (rank >> 8)
+            held.append(i)  # they come in order, which is a heap
+    while top:
+        block = (top & -top).bit_length() - 1
+        bits = low[block]
+        bit = bits & -bits
+        rank = block << 8 | bit.bit_length() - 1
+        held = bucket[rank]
+        if len(held) > 1:
+            i = heappop(held)
         else:
-            break
+            i = held.pop()
+            low[block] = bits = bits ^ bit
+            if not bits:
+                top &= top - 1
+        if rank_at[i] != rank:  # stale
+            continue
         j = end[i]
         end[i] = k = end[j]
         rank_at[j] = None
         if k < n:
             before[k] = i
-        changed = (before[i], i) if i else (i,)
+            rank_at[i] = rank = get(piece[i : end[k]])
+            if rank is not None:
+                held = bucket[rank]
+                if held:
+                    heappush(held, i)
+                else:
+                    held.append(i)
+                    low[rank >> 8] |= 1 << (rank & 255)
+                    top |= 1 << (rank >> 8)
+        else:
+            rank_at[i] = None
+        if i:
+            h = before[i]
+            rank_at[h] = rank = get(piece[h:k])
+            if rank is not None:
+                held = bucket[rank]
+                if held:
+                    heappush(held, h)
+                else:
+                    held.append(h)
+                    low[rank >> 8] |= 1 << (rank & 255)
+                    top |= 1 << (rank >> 8)
     ids, i = [], 0
     while i < n:
         ids.append(ranks[piece[i : end[i]]])

@@ -48,6 +48,20 @@ def test_merge_equals_library_also_on_very_long_pieces(tik):
         assert coder.encode(text) == tik.encode_ordinary(text)
 
 
+def test_merge_makes_no_call_for_each_step_and_leaves_the_queue_empty(tik, monkeypatch):
+    def called(*args):
+        raise AssertionError("a call for each step")
+
+    monkeypatch.setattr(bpe.RankQueue, "push", called)
+    monkeypatch.setattr(bpe.RankQueue, "pop", called)
+    coder = bpe.ByteBpe(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    rng = random.Random(3)
+    for _ in range(300):
+        text = "".join(rng.choice("aabcdeé漢 ") for _ in range(rng.randrange(60)))
+        assert coder.encode(text) == tik.encode_ordinary(text)
+        assert coder.queue.top == 0 and not any(coder.queue.low) and not any(coder.queue.bucket)
+
+
 def test_a_small_memo_gives_the_same_ids(monkeypatch, plain):
     import pyarrow as pa
 
