@@ -23,11 +23,11 @@ _coders: dict[tuple[str, str], tuple] = {}
 
 def _coder(path: str, pattern: str):
     from avspark.llm.bpe import ByteBpe
-    from avspark.llm.pieces import Pieces
+    from avspark.llm.pieces import Pieces, flat
 
     if (path, pattern) not in _coders:
         bpe = ByteBpe(path, pattern)
-        _coders[path, pattern] = bpe, Pieces(bpe.encode_all, keeps_space=True)
+        _coders[path, pattern] = bpe, Pieces(lambda keys: flat(bpe.encode_all(keys)), keeps_space=True)
     return _coders[path, pattern]
 
 

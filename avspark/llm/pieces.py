@@ -1,4 +1,4 @@
-"""Token ids of many texts: split at spaces, encode each different piece once, gather.
+"""Token ids of many texts: split at spaces and newlines, encode each different piece once, gather.
 
 Words repeat, so a worker keeps the ids of the pieces it has met (up to MEMO_PIECES; then those
 met only once go, which costs time only) and assembles documents with array operations. The
@@ -9,12 +9,15 @@ whole text; texts whose white space would break that rule are encoded whole.
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import repeat
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 MEMO_PIECES = 350_000
+_FIRST = itemgetter(0)
 
 #: White space that is special to a pattern with look-ahead: a space after white space, and
 #: characters that some libraries count as white space and others do not.
@@ -33,11 +36,31 @@ def ragged(storage: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.n
     return storage[np.repeat(starts - (ends - lengths), lengths) + np.arange(total)]
 
 
+def flat(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """All ids in order, and the number of ids of each row."""
+    counts = np.fromiter(map(len, rows), np.int64, len(rows))
+    return (np.concatenate(rows) if len(rows) else np.empty(0, np.uint32)), counts
+
+
+def merged(chosen: np.ndarray, one: tuple[np.ndarray, np.ndarray], other: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and their numbers of all rows, in order: the next row of ``one`` where ``chosen``, of ``other`` elsewhere."""
+    counts = np.empty(len(chosen), np.int64)
+    counts[chosen], counts[~chosen] = one[1], other[1]
+    of = np.repeat(chosen, counts)
+    ids = np.empty(len(of), np.uint32)
+    ids[of], ids[~of] = one[0], other[0]
+    return ids, counts
+
+
 class Pieces:
-    """Texts to ids. ``encode`` maps a list of strings to a list of id arrays."""
+    """Texts to ids. ``encode`` maps a list of strings to all their ids and the number of each one's.
 
-    def __init__(self, encode: Callable[[list[str]], list[np.ndarray]], keeps_space: bool):
-        self.encode, self.keeps_space = encode, keeps_space
+    ``at_newlines``: no pre-token crosses from a character that is no white space to a newline; where
+    white space is dropped (not ``keeps_space``), a newline is the same as a space.
+    """
+
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], keeps_space: bool, at_newlines: bool = False):
+        self.encode, self.keeps_space, self.at_newlines = encode, keeps_space, at_newlines
         self._forget()
 
     def _forget(self) -> None:
@@ -61,36 +84,40 @@ class Pieces:
     def _add(self, keys: list[str]) -> None:
         for at in range(0, len(keys), 50_000):
             part = keys[at : at + 50_000]
-            rows = self.encode(part)
-            lengths = np.fromiter(map(len, rows), np.int64, len(rows))
-            while self.used + lengths.sum() > len(self.ids):
+            ids, lengths = self.encode(part)
+            while self.used + len(ids) > len(self.ids):
                 self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
             n = len(self.slot)
             while n + len(part) + 1 > len(self.start):
                 self.start = np.concatenate([self.start, np.zeros_like(self.start)])
-            if lengths.sum():
-                self.ids[self.used : self.used + lengths.sum()] = np.concatenate(rows)
+            self.ids[self.used : self.used + len(ids)] = ids
             self.start[n + 1 : n + 1 + len(part)] = self.used + np.cumsum(lengths)
-            self.used += int(lengths.sum())
+            self.used += len(ids)
             self.slot.update(zip(part, range(n, n + len(part)), strict=True))
 
     def _slots(self, keys: list[str]) -> np.ndarray:
         """The memo slot of each of these different keys."""
-        missing = [k for k in keys if k not in self.slot]
+        slots = self._known(keys)
+        missing = np.flatnonzero(slots < 0)
         if len(self.slot) + len(missing) > MEMO_PIECES:
             self._keep_repeated()
             if len(self.slot) + len(keys) > MEMO_PIECES:
                 self._forget()
-            missing = [k for k in keys if k not in self.slot]
+            slots = self._known(keys)
+            missing = np.flatnonzero(slots < 0)
         before = len(self.slot)
         if before + len(missing) > len(self.again):  # one slice with more than the memo holds
             self.again = np.zeros(before + len(missing), bool)
-        if missing:
-            self._add(missing)
-        slots = np.fromiter(map(self.slot.__getitem__, keys), np.int64, len(keys))
-        self.again[slots[slots < before]] = True
+        self.again[slots[slots >= 0]] = True
+        if len(missing):
+            self._add([keys[i] for i in missing.tolist()])
+            slots[missing] = before + np.arange(len(missing))
         return slots
 
+    def _known(self, keys: list[str]) -> np.ndarray:
+        """The memo slots of the keys; -1 where there is none."""
+        return np.fromiter(map(self.slot.get, keys, repeat(-1)), np.int64, len(keys))
+
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order (uint32), and the number of ids of each text."""
         texts = texts.cast(pa.large_string())
@@ -100,38 +127,30 @@ class Pieces:
         if not whole.any():
             return self._split(texts)
         safe_ids, safe_n = self._split(texts.filter(pa.array(~whole)))
-        odd = self.encode(texts.filter(pa.array(whole)).to_pylist())
-        counts = np.zeros(len(texts), np.int64)
-        counts[~whole] = safe_n
-        counts[whole] = [len(x) for x in odd]
-        ids = np.empty(int(counts.sum()), np.uint32)
-        ends = np.cumsum(counts)
-        is_odd = np.repeat(whole, counts)
-        ids[~is_odd] = safe_ids
-        if is_odd.any():
-            ids[is_odd] = np.concatenate(odd)
-        assert len(ids) == (ends[-1] if len(ends) else 0)
-        return ids, counts
+        return merged(whole, self.encode(texts.filter(pa.array(whole)).to_pylist()), (safe_ids, safe_n))
+
+    def _cut(self, texts: pa.LargeStringArray) -> pa.LargeListArray:
+        """The pieces of each text; where white space counts, a piece keeps that before it."""
+        if not self.keeps_space:
+            return pc.split_pattern(pc.replace_substring(texts, "\n", " ") if self.at_newlines else texts, " ")
+        if self.at_newlines:
+            # A zero marks a cut: texts with one are encoded whole. No cut inside white space.
+            inside = pc.match_substring_regex(texts, r"[ \t\n]\n")
+            marked = pc.replace_substring(texts, "\n", "\0\n")
+            if pc.any(inside).as_py():
+                rare = pc.replace_substring_regex(pc.if_else(inside, texts, ""), r"([^ \t\n])\n", "\\1\0\n")
+                marked = pc.if_else(inside, rare, marked)
+            texts = marked
+        return pc.split_pattern(pc.replace_substring(texts, " ", "\0 "), "\0")
 
     def _split(self, texts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
         if not len(texts):
             return np.empty(0, np.uint32), np.empty(0, np.int64)
-        lists = pc.split_pattern(texts, " ")
+        lists = self._cut(texts)
         offsets = lists.offsets.to_numpy()
-        flat = lists.flatten().dictionary_encode()
-        index = flat.indices.to_numpy()
-        keys = flat.dictionary.to_numpy(zero_copy_only=False).tolist()
-        if self.keeps_space:  # all but the first piece of a text begin with the space
-            first = np.zeros(len(index), bool)
-            first[offsets[:-1] - offsets[0]] = True
-            heads, head_index = np.unique(index[first], return_inverse=True)
-            bare = [keys[i] for i in heads]
-            keys = [" " + k for k in keys]
-            both = list(dict.fromkeys(keys + bare))
-            place = dict(zip(both, range(len(both)), strict=True))
-            index = np.fromiter(map(place.__getitem__, keys), np.int64, len(keys))[index]
-            index[first] = np.fromiter(map(place.__getitem__, bare), np.int64, len(bare))[head_index]
-            keys = both
+        pieces = lists.flatten().dictionary_encode()
+        index = pieces.indices.to_numpy()
+        keys = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
         slots = self._slots(keys)[index]
         starts = self.start[slots]
         lengths = self.start[slots + 1] - starts
@@ -159,29 +178,29 @@ def library_pieces(path: str, keeps_space: bool, special_as_text: bool = True) -
     library = Tokenizer.from_file(path)
     library.encode_special_tokens = special_as_text
     special = [t.content for t in library.get_added_tokens_decoder().values()]
+    begins = "[ \n]" if keeps_space else ""
+    plain_piece = rf"^{begins}(?:[!-~]{'+' if keeps_space else '{2,}'}|[.,]+\pL+[.,]*|\pL+[.,]+|\pL{'+' if keeps_space else '{2,}'})$"
 
-    def alone(text: str) -> np.ndarray:
-        return np.array(library.encode(text, add_special_tokens=False).ids, np.uint32)
+    def alone(keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return flat([np.array(x.ids, np.uint32) for x in library.encode_batch_fast(keys, add_special_tokens=False)])
 
-    def joined(keys: list[str]) -> list[np.ndarray]:
+    def joined(keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = library.encode(("" if keeps_space else " ").join(keys), add_special_tokens=False)
-        starts = np.cumsum([0, *(len(k) + (not keeps_space) for k in keys)])
-        at = np.array([x for x, _ in found.offsets], np.int64)
-        cuts = np.searchsorted(at, starts[1:-1])
-        return np.split(np.array(found.ids, np.uint32), cuts)
-
-    def encode(keys: list[str]) -> list[np.ndarray]:
-        plain = [
-            k for k in keys
-            if (k.isascii() or k.strip(" .,").isalpha()) and len(k) > 1 and k[1:].isprintable()
-            and (k[0] == " ") == keeps_space and " " not in k[1:]
-            and not ("<" in k and any(x in k for x in special))
-        ]
-        rows: dict[str, np.ndarray] = {}
-        for at in range(0, len(plain), 256):
-            part = plain[at : at + 256]
-            rows.update(zip(part, joined(part), strict=True))
-        return [rows[k] if k in rows else alone(k) for k in keys]
-
-    _cached[key] = Pieces(encode, keeps_space)
+        lengths = np.fromiter(map(len, keys), np.int64, len(keys)) + (not keeps_space)
+        at = np.fromiter(map(_FIRST, found.offsets), np.int64, len(found))
+        ends = np.searchsorted(at, np.cumsum(lengths))
+        return np.array(found.ids, np.uint32), np.diff(ends, prepend=0)
+
+    def encode(keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        column = pa.array(keys, pa.large_string())
+        plain = pc.match_substring_regex(column, plain_piece)
+        for content in special:
+            plain = pc.and_not(plain, pc.match_substring(column, content))
+        together = column.filter(plain).to_pylist()
+        parts = [joined(together[at : at + 256]) for at in range(0, len(together), 256)]
+        ids = np.concatenate([np.empty(0, np.uint32), *(p[0] for p in parts)])
+        counts = np.concatenate([np.empty(0, np.int64), *(p[1] for p in parts)])
+        return merged(plain.to_numpy(zero_copy_only=False), (ids, counts), alone(column.filter(pc.invert(plain)).to_pylist()))
+
+    _cached[key] = Pieces(encode, keeps_space, at_newlines=True)
     return _cached[key]
