@@ -9,7 +9,7 @@ whole text; texts whose white space would break that rule are encoded whole.
 from __future__ import annotations
 
 from collections.abc import Callable
-from itertools import repeat
+from itertools import compress, repeat
 from operator import itemgetter
 
 import numpy as np
@@ -59,8 +59,9 @@ class Pieces:
     white space is dropped (not ``keeps_space``), a newline is the same as a space.
     """
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], keeps_space: bool, at_newlines: bool = False):
-        self.encode, self.keeps_space, self.at_newlines = encode, keeps_space, at_newlines
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], keeps_space: bool, at_newlines: bool = False,
+                 vocabulary: int | None = None):
+        self.encode, self.keeps_space, self.at_newlines, self.vocabulary = encode, keeps_space, at_newlines, vocabulary
         self._forget()
 
     def _forget(self) -> None:
@@ -164,8 +165,8 @@ _cached: dict[tuple, Pieces] = {}
 def library_pieces(path: str, keeps_space: bool, special_as_text: bool = True) -> Pieces:
     """Pieces encoded by the tokenizers library; one set for each Python worker and file.
 
-    Missing pieces are encoded together as one text, cut by the ids' offsets; pieces with
-    white space inside, or strings of special tokens, are encoded one by one.
+    Missing pieces are encoded together as one text, cut where a token begins with a piece's white
+    space or else by the ids' offsets; pieces with white space inside, or strings of special tokens, are encoded one by one.
     """
     key = (path, keeps_space, special_as_text)
     if key in _cached:
@@ -178,29 +179,45 @@ def library_pieces(path: str, keeps_space: bool, special_as_text: bool = True) -
     library = Tokenizer.from_file(path)
     library.encode_special_tokens = special_as_text
     special = [t.content for t in library.get_added_tokens_decoder().values()]
-    begins = "[ \n]" if keeps_space else ""
-    plain_piece = rf"^{begins}(?:[!-~]{'+' if keeps_space else '{2,}'}|[.,]+\pL+[.,]*|\pL+[.,]+|\pL{'+' if keeps_space else '{2,}'})$"
+    lead = "[ \n]" if keeps_space else ""
+    plain_piece = rf"^{lead}(?:[!-~]{'+' if keeps_space else '{2,}'}|[.,]+\pL+[.,]*|\pL+[.,]+|\pL{'+' if keeps_space else '{2,}'})$"
+
+    # Where a plain piece has its only space or newline in front, so has its first token, and no other.
+    vocabulary = library.get_vocab()
+    begins = np.zeros(max(vocabulary.values()) + 1, bool)
+    begins[[i for token, i in vocabulary.items() if token[:1] in ("Ġ", "Ċ")]] = True
 
     def alone(keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
         return flat([np.array(x.ids, np.uint32) for x in library.encode_batch_fast(keys, add_special_tokens=False)])
 
-    def joined(keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def by_offsets(keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = library.encode(("" if keeps_space else " ").join(keys), add_special_tokens=False)
         lengths = np.fromiter(map(len, keys), np.int64, len(keys)) + (not keeps_space)
         at = np.fromiter(map(_FIRST, found.offsets), np.int64, len(found))
         ends = np.searchsorted(at, np.cumsum(lengths))
         return np.array(found.ids, np.uint32), np.diff(ends, prepend=0)
 
+    def joined(keys: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        groups = [keys[at : at + 256] for at in range(0, len(keys), 256)]
+        if not keeps_space:
+            return [by_offsets(group) for group in groups]
+        parts = []
+        for group, found in zip(groups, library.encode_batch_fast(["".join(g) for g in groups], add_special_tokens=False), strict=True):
+            ids = np.array(found.ids, np.uint32)
+            first = np.flatnonzero(begins[ids])
+            parts.append((ids, np.diff(first, append=len(ids))) if len(first) == len(group) else by_offsets(group))
+        return parts
+
     def encode(keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
         column = pa.array(keys, pa.large_string())
         plain = pc.match_substring_regex(column, plain_piece)
         for content in special:
             plain = pc.and_not(plain, pc.match_substring(column, content))
-        together = column.filter(plain).to_pylist()
-        parts = [joined(together[at : at + 256]) for at in range(0, len(together), 256)]
+        told = plain.to_numpy(zero_copy_only=False)
+        parts = joined(list(compress(keys, told.tolist())))
         ids = np.concatenate([np.empty(0, np.uint32), *(p[0] for p in parts)])
         counts = np.concatenate([np.empty(0, np.int64), *(p[1] for p in parts)])
-        return merged(plain.to_numpy(zero_copy_only=False), (ids, counts), alone(column.filter(pc.invert(plain)).to_pylist()))
+        return merged(told, (ids, counts), alone(list(compress(keys, (~told).tolist()))))
 
-    _cached[key] = Pieces(encode, keeps_space, at_newlines=True)
+    _cached[key] = Pieces(encode, keeps_space, at_newlines=True, vocabulary=library.get_vocab_size())
     return _cached[key]

@@ -179,12 +179,10 @@ def write(docs: DataFrame, tokenizer: str, end_id: int = 0, folder: str | None =
     files.create_dir(root)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-
         from avspark.llm.pieces import library_pieces
 
         encode = library_pieces(tokenizer, True, special_as_text)
-        width = 2 if Tokenizer.from_file(tokenizer).get_vocab_size() <= 1 << 16 and end_id < 1 << 16 else 4
+        width = 2 if encode.vocabulary <= 1 << 16 and end_id < 1 << 16 else 4
         files, root = _open(folder)
         files.create_dir(root)
         number, out, held = 0, None, []

@@ -49,3 +49,19 @@ def test_each_missing_piece_is_encoded_once(both):
     for at in range(0, 300, 40):
         assert by_pieces(texts[at : at + 40]) == by_library(texts[at : at + 40])
     assert len(seen) == len(set(seen))
+
+
+def test_a_worker_reads_a_tokenizer_once(monkeypatch):
+    path, read = public_tokenizers.path("byte_bpe_50k.json"), []
+
+    class Counted:
+        @staticmethod
+        def from_file(path):
+            read.append(path)
+            return Tokenizer.from_file(path)
+
+    monkeypatch.setattr("tokenizers.Tokenizer", Counted)
+    monkeypatch.setattr(pieces, "_cached", {})
+    for _ in range(2):
+        assert pieces.library_pieces(path, True).vocabulary == Tokenizer.from_file(path).get_vocab_size()
+    assert read == [path]
