@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from avspark.llm import pieces
+from avspark.llm import common, pieces
 
 
 @pytest.fixture(params=["byte_bpe_50k.json", "word_bpe_49k.json"])
@@ -51,6 +51,20 @@ def test_each_missing_piece_is_encoded_once(both):
     assert len(seen) == len(set(seen))
 
 
+def test_memory_goes_back_after_each_batch(monkeypatch):
+    calls = []
+
+    class Pool:
+        def release_unused(self):
+            calls.append(len(got))
+
+    monkeypatch.setattr(common.pa, "default_memory_pool", Pool)
+    got = []
+    for part in common.slices(iter([pa.RecordBatch.from_pydict({"text": ["ab", "cd", "ef"]}) for _ in range(3)]), size=4):
+        got.append(part)
+    assert [p.num_rows for p in got] == [2, 1] * 3 and calls == [2, 4, 6]
+
+
 def test_a_worker_reads_a_tokenizer_once(monkeypatch):
     path, read = public_tokenizers.path("byte_bpe_50k.json"), []
 
