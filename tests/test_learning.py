@@ -269,3 +269,14 @@ def test_a_forest_is_fitted_in_parts_where_rows_fill_the_cores(spark, features,
     again = md.load_or_train(rows, path, trees=10, regressor_depth=5, classifier_depth=4)
     assert {r.flight_id: r for r in md.score(some, again, rounded=False).collect()} == got
     assert again.importances == fitted.importances
+
+
+def test_forests_are_fitted_on_all_rows_however_many(spark, features, monkeypatch):
+    """As if there were a billion rows: none is left out."""
+    monkeypatch.setattr(md, "data_fingerprint", lambda rows: "1000000000:0:0")
+    monkeypatch.setattr(md, "TASK_ROWS", (10, 1 << 30))
+    counts = []
+    fit_and_save = md._fit_and_save
+    monkeypatch.setattr(md, "_fit_and_save", lambda e, rows, path: counts.append(rows.count()) or fit_and_save(e, rows, path))
+    md.train(features.limit(1500), new_path(spark, "all-rows"), **SETTINGS)
+    assert counts == [1500, 1500]
