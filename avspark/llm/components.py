@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from avspark.llm.common import stored
+from avspark.llm.common import drop, stored
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(id, component) for every id of ``links`` (columns a, b): the smallest id reachable.
+    """A stored table (id, component) for every id of ``links`` (columns a, b): the smallest id reachable.
 
     Each round takes the smallest label among neighbours, then the label of that label, so
     that paths halve. Every round is written to the shared folder. Minima combine before
@@ -23,9 +23,13 @@ def components(links: DataFrame) -> DataFrame:
         lower = stored(
             labels.join(near, labels.id == near.a)
             .select("id", F.least("component", "near").alias("component"), F.col("component").alias("was")), "labels")
+        drop(labels)
         if lower.where("component <> was").isEmpty():
-            return lower.select("id", "component")
+            found = stored(lower.select("id", "component"), "components")
+            drop(both, lower)
+            return found
         up = lower.select(F.col("id").alias("via"), F.col("component").alias("further"))
         labels = stored(
             lower.join(up, F.col("component") == F.col("via"))
             .select("id", F.least("component", "further").alias("component")), "labels")
+        drop(lower)

@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from avspark.llm.common import stored, texts
+from avspark.llm.common import drop, stored, texts
 
 
 #: About as many rows of a group are compared with the kept row in one place.
@@ -39,6 +39,11 @@ def exact_groups(docs: DataFrame, hashed: Callable[[Column], Column] = content_h
 
     ``hashed`` may be replaced to force collisions; the result does not depend on it.
     """
+    return _grouped(docs, hashed)[0]
+
+
+def _grouped(docs: DataFrame, hashed: Callable[[Column], Column]) -> tuple[DataFrame, list[DataFrame]]:
+    """What :func:`exact_groups` returns, and the stored tables that it reads."""
     rows = texts(docs).select("doc_id", normalised(F.col("text")).alias("text"))
     keyed = stored(
         rows.select("doc_id", hashed(F.col("text")).alias("hash"), F.sha2("text", 256).alias("text_sha256"))
@@ -50,10 +55,11 @@ def exact_groups(docs: DataFrame, hashed: Callable[[Column], Column] = content_h
     # The texts of rows in groups, beside the text of the row that the group keeps. The join is stored
     # before rows that repeat an id become one, so that a hot hash can be split in it.
     parts = F.ceil(F.col("size") / GROUP_ROWS).cast("int")
-    members = stored(keyed.join(groups, "hash").select(
+    in_groups = stored(keyed.join(groups, "hash").select(
         "doc_id", "hash", "text_sha256", F.col("keep.doc_id").eqNullSafe(F.col("doc_id")).alias("is_keeper"),
         parts.alias("parts"), F.pmod(F.xxhash64("doc_id", "text_sha256"), parts).cast("int").alias("part")),
-        "exact-in-groups").distinct()
+        "exact-in-groups")
+    members = in_groups.distinct()
     found = stored(
         rows.alias("r").join(
             members.alias("m"),
@@ -65,6 +71,7 @@ def exact_groups(docs: DataFrame, hashed: Callable[[Column], Column] = content_h
     differing = stored(
         found.join(keepers, ["hash", "part"]).where(F.col("text") != F.col("keep_text"))
         .select("doc_id", "hash", "text_sha256", "text").distinct(), "exact-collisions")
+    drop(in_groups, found, keepers)
 
     # Almost always empty: rows that share the hash, not the bytes, of the row kept.
     apart = keyed.alias("k").join(
@@ -75,23 +82,27 @@ def exact_groups(docs: DataFrame, hashed: Callable[[Column], Column] = content_h
         apart.groupBy("hash", "text").agg(
             first.alias("own"), F.count("*").alias("own_size"), F.first("text_sha256").alias("text_sha256"))
         .drop("text"), "exact-own-groups")
+    drop(differing)
     lost = own.groupBy("hash").agg(F.sum("own_size").alias("lost"))
-    groups = stored(
+    sizes = stored(
         groups.join(lost, "hash", "left")
         .select("hash", "keep", (F.col("size") - F.coalesce("lost", F.lit(0))).alias("size")), "exact-sizes")
+    drop(groups)
     keep = F.coalesce("own", "keep")
     return (
-        keyed.join(groups, "hash", "left").join(own, ["hash", "text_sha256"], "left")
+        keyed.join(sizes, "hash", "left").join(own, ["hash", "text_sha256"], "left")
         .select("doc_id", F.when(keep.isNull(), F.col("doc_id")).otherwise(keep["doc_id"]).alias("keep_id"),
                 F.coalesce("own_size", "size", F.lit(1)).cast("long").alias("group_size"),
                 F.coalesce(keep["row"] == F.col("row"), F.lit(True)).alias("kept"), "text_sha256")
-    )
+    ), [keyed, sizes, own]
 
 
 def without_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, that exact dedup keeps."""
-    kept = stored(exact_groups(docs).where("kept").select(
+    found, tables = _grouped(docs, content_hash)
+    kept = stored(found.where("kept").select(
         F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha")), "exact-kept")
+    drop(*tables)
     # The table's own columns travel as one struct, so that none can clash with ours.
     tagged = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own"), F.col("doc_id").cast("long").alias("__id"),

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from avspark.llm.common import slices, stored, texts
+from avspark.llm.common import drop, slices, stored, texts
 from avspark.llm.components import components
 
 SKETCH_BITS = 512
@@ -313,19 +313,27 @@ def verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFra
     differ = F.aggregate(F.zip_with("of_a.wide", "of_b.wide", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
                          F.lit(0), lambda total, x: total + x)
     both = F.col("of_a.size") + F.col("of_b.size")
-    pairs = stored(
+    likely = stored(
         pairs.join(small("a"), "a").join(small("b"), "b")
         .where(differ * (100 + percent) <= both * (100 - percent)).select("a", "b").distinct(), "likely-pairs")
     # Of the sets, which may be long, only those of likely pairs move.
     of = lambda k: (sets.select(F.col("id").alias(k), F.col("features").alias(f"of_{k}"))
-                    .join(pairs.select(k).distinct(), k, "left_semi"))
+                    .join(likely.select(k).distinct(), k, "left_semi"))
     common_n = F.size(F.array_intersect("of_a", "of_b"))
     union = F.size("of_a") + F.size("of_b") - common_n
-    return pairs.join(of("a"), "a").join(of("b"), "b").where(100 * common_n >= percent * union).select("a", "b").distinct()
+    right = stored(
+        likely.join(of("a"), "a").join(of("b"), "b").where(100 * common_n >= percent * union).select("a", "b").distinct(), "similar-pairs")
+    drop(sets, likely)
+    return right
 
 
 def linked(docs: DataFrame, n: int = 3, percent: int = 90, part_rows: int = PART_ROWS) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id."""
+    return _linked(docs, n, percent, part_rows)[0]
+
+
+def _linked(docs: DataFrame, n: int, percent: int, part_rows: int = PART_ROWS) -> tuple[DataFrame, list[DataFrame]]:
+    """What :func:`linked` returns, and the stored tables that it reads. Others go as soon as nothing reads them."""
     measures = stored(measured(docs, n, percent), "measured")
     frequency = _frequency_of(measures)
     rows = measures.where("block is null")
@@ -335,6 +343,7 @@ def linked(docs: DataFrame, n: int = 3, percent: int = 90, part_rows: int = PART
     of_class = stored(
         rows.where("size > 0 and doc_id is not null").join(classes, ["size", "set_a", "set_b"])
         .select("doc_id", "first_id"), "set-members")
+    drop(classes)
     copies = of_class.where("doc_id <> first_id").select("doc_id").distinct()
     sketch = rows.where("size > 0").select(F.col("doc_id").alias("id"), F.struct("size", *_SKETCH).alias("bound"))
 
@@ -346,7 +355,8 @@ def linked(docs: DataFrame, n: int = 3, percent: int = 90, part_rows: int = PART
                        F.lead("id").over(run).alias("next"))
                .where(f"a < id or next > id or key >= {1 << SIGNATURE_BITS}"))
     signature = F.col("key").bitwiseAND(F.lit((1 << SIGNATURE_BITS) - 1)).alias("signature")
-    members = stored(members.select(signature, (F.col("key") >= 1 << SIGNATURE_BITS).alias("dealt"), "id", "a"), "members")
+    kept = stored(members.select(signature, (F.col("key") >= 1 << SIGNATURE_BITS).alias("dealt"), "id", "a"), "members")
+    members = kept
     # A signature dealt into parts: the first sets of its parts meet the first of all.
     parts = members.where("dealt").groupBy("signature", "a").agg(F.lit(1).alias("one"))
     heads = parts.groupBy("signature").agg(F.min("a").alias("head"))
@@ -360,8 +370,8 @@ def linked(docs: DataFrame, n: int = 3, percent: int = 90, part_rows: int = PART
 
     pairs = members.where("id <> a").select("a", F.col("id").alias("b")).union(across).distinct()
     pairs = stored(bounded(pairs).distinct(), "pairs")
-    tried = pairs
-    labels = stored(components(verified(pairs, docs, n, percent)), "components")
+    tried, all_tried = pairs, [pairs]
+    labels = _merged(verified(pairs, docs, n, percent))
     members = members.select("signature", "id")
 
     turn, last = 0, False
@@ -369,6 +379,7 @@ def linked(docs: DataFrame, n: int = 3, percent: int = 90, part_rows: int = PART
         named = members.join(labels, "id", "left").select(
             "signature", "id", F.coalesce("component", "id").alias("component"))
         named = stored(named, "named-members")
+        drop(kept)
         split = stored(
             named.groupBy("signature").agg(
                 F.min("component").alias("low"), F.max("component").alias("high"),
@@ -377,43 +388,61 @@ def linked(docs: DataFrame, n: int = 3, percent: int = 90, part_rows: int = PART
         members = named.join(split, "signature")
         if last:
             # Sizes and sketches are tested as pairs are made.
-            members = stored(members.join(sketch, "id"), "last-members")
+            members = kept = stored(members.join(sketch, "id"), "last-members")
+            drop(named, split)
             own = members.select("signature", F.col("id").alias("a"), F.col("component").alias("at"), F.col("bound").alias("of_a"))
             other = members.select("signature", F.col("id").alias("b"), F.col("component").alias("to"), F.col("bound").alias("of_b"))
             pairs = own.join(other, "signature").where((F.col("a") < F.col("b")) & may_be_similar("of_a", "of_b", percent))
         else:
+            kept = members = stored(members, "members")
+            drop(named, split)
             star = members.where("id = star").select("signature", F.col("id").alias("b"), F.col("component").alias("to")).distinct()
             pairs = members.select("signature", F.col("id").alias("a"), F.col("component").alias("at")).join(star, "signature")
         pairs = (pairs.where(F.col("at") != F.col("to"))
                  .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.least("at", "to").alias("at"), F.greatest("at", "to").alias("to"))
                  .distinct().join(tried, ["a", "b"], "left_anti"))
         pairs = stored(pairs if last else bounded(pairs), "pairs")
+        all_tried.append(pairs)
         tested = pairs.count()
         found = 0
         if tested:
             right = verified(pairs.select("a", "b"), docs, n, percent)
             joined = stored(pairs.join(right, ["a", "b"]).select(F.col("at").alias("a"), F.col("to").alias("b")).distinct(), "joined")
+            drop(right)
             found = joined.count()
-        if found:
-            moved = components(joined).select(F.col("id").alias("component"), F.col("component").alias("into"))
-            every = labels.union(moved.select("component", "component")).distinct()
-            labels = stored(every.join(moved, "component", "left").select(
-                "id", F.coalesce("into", "component").alias("component")), "components")
+            if found:
+                merged = _merged(joined)
+                moved = merged.select(F.col("id").alias("component"), F.col("component").alias("into"))
+                every = labels.union(moved.select("component", "component")).distinct()
+                before, labels = labels, stored(every.join(moved, "component", "left").select(
+                    "id", F.coalesce("into", "component").alias("component")), "components")
+                drop(before, merged)
+            else:
+                drop(joined)
         if last:
             break
         tried = tried.union(pairs.select("a", "b"))
         turn, last = turn + 1, found * 20 <= tested
         members = members.select("signature", "id")
+    drop(kept, *all_tried)
 
     first = F.coalesce("first_id", "doc_id")
     # A class's members are at most as many as its copies; joins are between stored tables.
     named = rows.join(of_class.distinct(), "doc_id", "left").select("doc_id", "size", first.alias("id"))
     return (named.join(labels, "id", "left")
-            .select("doc_id", F.col("size").alias("n_shingles"), F.coalesce("component", "id").alias("component_id")))
+            .select("doc_id", F.col("size").alias("n_shingles"), F.coalesce("component", "id").alias("component_id")), [measures, of_class, labels])
+
+
+def _merged(links: DataFrame) -> DataFrame:
+    """The components of stored links, stored; the links go."""
+    found = components(links)
+    drop(links)
+    return found
 
 
 def one_of_each(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     """The rows of ``docs``, all columns, without those whose component has a smaller id."""
-    found = linked(docs, n, percent).where("component_id < doc_id").select(F.col("doc_id").alias("__gone")).distinct()
-    gone = stored(found, "near-copies")
+    found, tables = _linked(docs, n, percent)
+    gone = stored(found.where("component_id < doc_id").select(F.col("doc_id").alias("__gone")).distinct(), "near-copies")
+    drop(*tables)
     return docs.join(gone, docs["doc_id"].cast("long") == F.col("__gone"), "left_anti")

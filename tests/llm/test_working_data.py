@@ -6,7 +6,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from avspark.llm import common, line_dedup
+from avspark.llm import common, exact_dedup, line_dedup, ngram_join
 from avspark.session import work_dir
 from tests.llm.test_line_and_license import got_removed, want_removed
 
@@ -35,6 +35,15 @@ def test_a_stored_table_leaves_no_shuffle_files(spark):
     assert not os.path.exists(table.stored_at)
 
 
+def texts_with_copies(spark):
+    rng = random.Random(5)
+    rows = []
+    for d in range(30):
+        words = [f"w{rng.randrange(4000)}" for _ in range(60)]
+        rows += [(3 * d, " ".join(words)), (3 * d + 1, " ".join(words)), (3 * d + 2, " ".join([*words[:-1], "end"]))]
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
 def left_by(spark, work):
     """The labels of the tables that are left."""
     before = tables(spark)
@@ -43,6 +52,18 @@ def left_by(spark, work):
     return rows, sorted(t.rsplit("-", 1)[0] for t in tables(spark) - before)
 
 
+def test_joins_leave_only_what_their_result_reads(spark):
+    docs = texts_with_copies(spark)
+    rows, left = left_by(spark, lambda: ngram_join.one_of_each(docs))
+    assert sorted(r.doc_id for r in rows) == [3 * d for d in range(30)] and left == ["near-copies"]
+    rows, left = left_by(spark, lambda: ngram_join.linked(docs))
+    assert all(r.component_id == r.doc_id // 3 * 3 for r in rows) and left == ["components", "measured", "set-members"]
+    rows, left = left_by(spark, lambda: exact_dedup.without_copies(docs))
+    assert sorted(r.doc_id for r in rows) == sorted(i for d in range(30) for i in (3 * d, 3 * d + 2)) and left == ["exact-kept"]
+    rows, left = left_by(spark, lambda: exact_dedup.exact_groups(docs))
+    assert len(rows) == 90 and left == ["exact-keys", "exact-own-groups", "exact-sizes"]
+
+
 def test_lines_that_only_share_words_are_not_stored(spark, monkeypatch):
     """Sets of words are stored for lines that may have a similar one, not for all that share a key."""
     rng = random.Random(8)
